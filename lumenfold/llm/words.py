@@ -165,3 +165,19 @@ def mix_sql(h: str) -> str:
     a = f"((({step(h, 30)})::HUGEINT * {MIX1}::HUGEINT) % {two64}::HUGEINT)"
     b = f"((({step(a, 27)})::HUGEINT * {MIX2}::HUGEINT) % {two64}::HUGEINT)"
     return step(b, 31)
+
+
+def hash_sql(word: str) -> str:
+    """DuckDB expression of ``hash64`` over a VARCHAR expression."""
+    two64 = 1 << 64
+    byte = f"list_transform(range(octet_length(encode({word}))::BIGINT), lambda i: ('0x' || substr(hex(encode({word})), 2 * i + 1, 2))::INTEGER::HUGEINT)"
+    horner = f"list_reduce(list_reverse({byte}), lambda h, b: (h * {BASE}::HUGEINT + b) % {two64}::HUGEINT)"
+    return mix_sql(f"({horner})")
+
+
+def combine_sql(parts: list[str], salt: int) -> str:
+    """DuckDB expression of :func:`combine` over UBIGINT expressions."""
+    two64, h = 1 << 64, f"{salt}::HUGEINT"
+    for x in parts:
+        h = f"(({h} * {BASE}::HUGEINT + ({x})::HUGEINT) % {two64}::HUGEINT)"
+    return mix_sql(h)
