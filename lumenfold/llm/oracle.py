@@ -52,3 +52,23 @@ def op10(radius: int = 7, radius2: int = 14) -> str:
 link AS MATERIALIZED (SELECT a.doc_id AS u, b.doc_id AS v FROM own a JOIN own b ON a.doc_id <> b.doc_id AND bit_count(xor(a.fp, b.fp)) <= {radius} AND bit_count(xor(a.fp2, b.fp2)) <= {radius2}),
 reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, l.v FROM reach r JOIN link l ON l.u = r.v)
 SELECT u AS doc_id, min(v) AS group_id, u = min(v) AS keep FROM reach GROUP BY u"""
+
+
+def op7(window: int = 50) -> str:
+    return f"""WITH seq AS (SELECT DISTINCT doc_id, text, regexp_extract_all(text, '[^\\t\\n\\x0B\\f\\r ]+') AS l FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+win AS (SELECT doc_id, i, md5(array_to_string(l[i:i + {window - 1}], ' ')) AS k FROM (SELECT doc_id, l, unnest(range(1, len(l) - {window - 2})) AS i FROM seq WHERE len(l) >= {window})),
+rep AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS removed FROM win QUALIFY count(*) OVER (PARTITION BY k) > 1),
+isl AS (SELECT *, CASE WHEN i - lag(i) OVER w <= {window} THEN 0 ELSE 1 END AS new FROM rep WINDOW w AS (PARTITION BY doc_id, removed ORDER BY i)),
+grp AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, removed ORDER BY i) AS part FROM isl)
+SELECT doc_id, (min(i) - 1)::INT AS start_word, (max(i) - 1 + {window})::INT AS end_word, removed FROM grp GROUP BY doc_id, removed, part"""
+
+
+def op9(window: int = 3) -> str:
+    return f"""WITH line AS (SELECT doc_id, k, l[k] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS k FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
+own AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS i FROM line WHERE line <> ''),
+win AS (SELECT doc_id, i, list(line) OVER w AS l FROM own WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY l ORDER BY doc_id, i) AS n FROM win WHERE len(l) = {window}) WHERE n > 1),
+gone AS (SELECT DISTINCT o.doc_id, o.k FROM own o JOIN later x ON x.doc_id = o.doc_id AND o.i BETWEEN x.i AND x.i + {window - 1}),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY k) AS text FROM line l WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.k = l.k) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text, coalesce(n.n, 0)::INT AS n_removed FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""

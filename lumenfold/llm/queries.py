@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import oracle, simhash
+from lumenfold.llm import lines, oracle, simhash, substring
 from lumenfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,17 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_substrings(table(spark, sf_dir, "documents")).drop("tid")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_document_fingerprints, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op3_document_fingerprints, op7_substring_dedup, op9_line_dedup, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_document_fingerprints": oracle.op3(), "op10_simhash_near_dedup": oracle.op10()}
+    return {"op3_document_fingerprints": oracle.op3(), "op7_substring_dedup": oracle.op7(), "op9_line_dedup": oracle.op9(), "op10_simhash_near_dedup": oracle.op10()}
