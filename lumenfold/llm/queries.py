@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import lines, oracle, simhash, substring
+from lumenfold.llm import lines, oracle, quality, simhash, substring
 from lumenfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.importance_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.document_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -24,13 +28,18 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_substrings(table(spark, sf_dir, "documents")).drop("tid")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit_classifier(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_document_fingerprints, op7_substring_dedup, op9_line_dedup, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op2_quality_ratio, op3_document_fingerprints, op7_substring_dedup, op8_quality_classifier, op9_line_dedup, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_document_fingerprints": oracle.op3(), "op7_substring_dedup": oracle.op7(), "op9_line_dedup": oracle.op9(), "op10_simhash_near_dedup": oracle.op10()}
+    return {"op2_quality_ratio": oracle.op2(-0.012, 3.0, quality.RATIO_BUCKETS, quality.PREFIXES), "op3_document_fingerprints": oracle.op3(), "op7_substring_dedup": oracle.op7(), "op9_line_dedup": oracle.op9(), "op10_simhash_near_dedup": oracle.op10()}

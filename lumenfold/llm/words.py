@@ -167,10 +167,10 @@ def mix_sql(h: str) -> str:
     return step(b, 31)
 
 
-def hash_sql(word: str) -> str:
-    """DuckDB expression of ``hash64`` over a VARCHAR expression."""
+def hash_sql(word: str, first: int | None = None) -> str:
+    """DuckDB expression of ``hash64`` over a VARCHAR expression, or over its ``first`` bytes."""
     two64 = 1 << 64
-    byte = f"list_transform(range(octet_length(encode({word}))::BIGINT), lambda i: ('0x' || substr(hex(encode({word})), 2 * i + 1, 2))::INTEGER::HUGEINT)"
+    byte = f"list_transform(range({first or f'octet_length(encode({word}))::BIGINT'}), lambda i: ('0x' || substr(hex(encode({word})), 2 * i + 1, 2))::INTEGER::HUGEINT)"
     horner = f"list_reduce(list_reverse({byte}), lambda h, b: (h * {BASE}::HUGEINT + b) % {two64}::HUGEINT)"
     return mix_sql(f"({horner})")
 
