@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import lines, oracle, quality, simhash, substring
+from lumenfold.llm import bpe, lines, oracle, packing, quality, simhash, substring
 from lumenfold.llm.common import table
 
+#: Folder of the public vocabulary files.
+TOKENIZERS = "/opt/tokenizers"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op2_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.importance_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,6 +30,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_substrings(table(spark, sf_dir, "documents")).drop("tid")
 
@@ -38,7 +48,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_quality_ratio, op3_document_fingerprints, op7_substring_dedup, op8_quality_classifier, op9_line_dedup, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_quality_ratio, op3_document_fingerprints, op4_best_fit_packing, op7_substring_dedup, op8_quality_classifier, op9_line_dedup, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
