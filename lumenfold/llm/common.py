@@ -15,19 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through ``spark.checkpoint.dir``, so that the result survives lost executors.
+def folder(spark: SparkSession) -> str:
+    """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Where no folder is set, a local session (a test) gets one of its own and a cluster is an error."""
-    spark = df.sparkSession
+    Where it is unset, a local session (a test) gets one of its own and a cluster is an error."""
     context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local[") and context.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="lumenfold-")
-        context.setCheckpointDir(folder)
+    known = context._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        return known.get()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="lumenfold-")
+    context.setCheckpointDir(path)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage through :func:`folder`, so that the result survives lost executors."""
+    folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenfold.llm import bpe, license_scan, lines, oracle, packing, quality, simhash, substring
+from lumenfold.llm import bpe, gru, license_scan, lines, oracle, packing, quality, simhash, substring
 from lumenfold.llm.common import table
 
 #: Folder of the public vocabulary files.
@@ -38,6 +38,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_substrings(table(spark, sf_dir, "documents")).drop("tid")
 
@@ -52,7 +56,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe, op2_quality_ratio, op3_document_fingerprints, op4_best_fit_packing, op5_license_scan, op7_substring_dedup, op8_quality_classifier, op9_line_dedup, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_quality_ratio, op3_document_fingerprints, op4_best_fit_packing, op5_license_scan, op6_lm_scoring, op7_substring_dedup, op8_quality_classifier, op9_line_dedup, op10_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
