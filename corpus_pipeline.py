@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenfold.llm import lines, packing, quality, simhash, substring
@@ -24,15 +24,18 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines of repeated three-line windows; a document of which only white space is left goes."""
-    left = lines.dedup_lines(docs)
-    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S")
-    return left.where(~F.coalesce(emptied, F.lit(False))).drop("n_removed").withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    left = lines.dedup_lines(docs, count="_lf_removed")
+    emptied = (F.col("_lf_removed") > 0) & ~F.col("text").rlike(r"\S")
+    return left.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; rows with a NULL ``doc_id`` stay."""
-    gone = simhash.near_duplicates(docs).where("NOT keep").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    """One document of each group of near copies, one row of those that share a ``doc_id``; rows with a NULL ``doc_id`` stay."""
+    gone = simhash.near_duplicates(docs).where("NOT keep").select(F.col("doc_id").alias("_lf_gone"))
+    known = docs.where("doc_id IS NOT NULL")
+    left = known.join(gone, known["doc_id"] == F.col("_lf_gone"), "left_anti")
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return left.withColumn("_lf_row", one).where("_lf_row = 1").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,7 +46,7 @@ def repeated_lines(docs: DataFrame, *, window: int = 3) -> DataFrame:
 def _rewrite(batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = batch.column("text").to_pylist()
     removed = np.zeros(len(texts), np.int32)
-    for i, lines in enumerate(batch.column("_lines").to_pylist()):
+    for i, lines in enumerate(batch.column("_lf_lines").to_pylist()):
         if lines:
             gone, k, out = set(lines), 0, []
             for line in texts[i].split("\n"):
@@ -54,21 +54,21 @@ def _rewrite(batch: pa.RecordBatch) -> pa.RecordBatch:
                     out.append(line)
                 k += bool(line)
             texts[i], removed[i] = "\n".join(out), len(gone)
-    done = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string())).drop_columns(["_lines"])
-    return done.append_column("n_removed", pa.array(removed))
+    done = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string())).drop_columns(["_lf_lines"])
+    return done.append_column("_lf_count", pa.array(removed))
 
 
-def dedup_lines(docs: DataFrame, *, window: int = 3) -> DataFrame:
-    """All rows and columns of ``docs``, ``text`` without the lines of later occurrences, and ``n_removed``.
+def dedup_lines(docs: DataFrame, *, window: int = 3, count: str = "n_removed") -> DataFrame:
+    """All rows and columns of ``docs``, ``text`` without the lines of later occurrences, and their number in ``count``.
 
     A window is ``window`` consecutive non-empty lines of a document, compared byte by
     byte (by a 64-bit hash).  The first occurrence, by ``doc_id`` and place, stays; the
     lines that later ones cover go, with their line ends.  Empty lines are neither
     counted nor removed.  Texts with fewer than ``window`` lines, NULL texts and rows
     with a NULL ``doc_id`` stay as they are; rows that share ``doc_id`` and text count
-    as one document, and columns of ``docs`` named ``_lines`` or ``n_removed`` are replaced."""
-    docs = docs.drop("_lines", "n_removed")
-    gone = repeated_lines(docs, window=window).select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid"), F.col("lines").alias("_lines"))
-    left = docs.join(gone, (docs["doc_id"] == F.col("_id")) & (F.hash(docs["text"]) == F.col("_tid")), "left").drop("_id", "_tid")
+    as one document, and a column of ``docs`` named like ``count`` is replaced."""
+    docs = docs.drop(count)
+    gone = repeated_lines(docs, window=window).select(F.col("doc_id").alias("_lf_id"), F.col("tid").alias("_lf_tid"), F.col("lines").alias("_lf_lines"))
+    left = docs.join(gone, (docs["doc_id"] == F.col("_lf_id")) & (F.hash(docs["text"]) == F.col("_lf_tid")), "left").drop("_lf_id", "_lf_tid")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return left.mapInArrow(batches(_rewrite), schema + ", n_removed int")
+    return left.mapInArrow(batches(_rewrite), schema + ", _lf_count int").withColumnRenamed("_lf_count", count)

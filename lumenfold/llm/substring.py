@@ -137,7 +137,7 @@ def repeated_substrings(docs: DataFrame, *, window: int = 50, id_col: str = "doc
 
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = batch.column("text").to_pylist()
-    for i, spans in enumerate(batch.column("_spans").to_pylist()):
+    for i, spans in enumerate(batch.column("_lf_spans").to_pylist()):
         if spans:
             raw = texts[i].encode()
             _, _, _, _, s, e = next(W.words(pa.array([texts[i]]), W.SPACE))
@@ -148,7 +148,7 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
             out.append(raw[at:])
             texts[i] = b" ".join(x.strip(b" ") for x in out).strip(b" ").decode()
     done = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
-    return done.drop_columns(["_spans"])
+    return done.drop_columns(["_lf_spans"])
 
 
 def remove_substrings(docs: DataFrame, *, window: int = 50) -> DataFrame:
@@ -156,7 +156,7 @@ def remove_substrings(docs: DataFrame, *, window: int = 50) -> DataFrame:
 
     What is left on either side of a cut is joined by one blank."""
     gone = repeated_substrings(docs, window=window).where("removed").groupBy("doc_id", "tid").agg(F.collect_list(F.struct(F.col("start_word").alias("a"), F.col("end_word").alias("b"))).alias("_spans"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid"), "_spans")
-    left = docs.join(gone, (docs["doc_id"] == F.col("_id")) & (F.hash(docs["text"]) == F.col("_tid")), "left").drop("_id", "_tid")
+    gone = gone.select(F.col("doc_id").alias("_lf_id"), F.col("tid").alias("_lf_tid"), F.col("_spans").alias("_lf_spans"))
+    left = docs.join(gone, (docs["doc_id"] == F.col("_lf_id")) & (F.hash(docs["text"]) == F.col("_lf_tid")), "left").drop("_lf_id", "_lf_tid")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return left.mapInArrow(batches(_cut), schema).withColumn("n_chars", F.length("text").cast("long"))
