@@ -88,3 +88,24 @@ def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratio of matching blocks of two texts; 1 where both are NULL, 0 where one is."""
     one = lambda x, y: 1.0 if x is None and y is None else 0.0 if x is None or y is None else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio()
     return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+def letterbox(image: np.ndarray, height: int, width: int) -> tuple[np.ndarray, float, int, int]:
+    """A BGR image scaled into a frame of the model's size: float RGB planes, the scale, and the margins left and above.
+
+    Bilinear with pixel centers, margins of gray 114."""
+    h, w = image.shape[:2]
+    scale = min(height / h, width / w)
+    tall, wide = max(1, round(h * scale)), max(1, round(w * scale))
+    at = lambda n, m: np.clip((np.arange(n) + 0.5) * m / n - 0.5, 0, m - 1)
+    y, x = at(tall, h), at(wide, w)
+    y0, x0 = y.astype(int), x.astype(int)
+    y1, x1 = np.minimum(y0 + 1, h - 1), np.minimum(x0 + 1, w - 1)
+    fy, fx = (y - y0)[:, None, None], (x - x0)[None, :, None]
+    source = image.astype(np.float32)
+    upper = source[y0][:, x0] * (1 - fx) + source[y0][:, x1] * fx
+    lower = source[y1][:, x0] * (1 - fx) + source[y1][:, x1] * fx
+    left, top = (width - wide) // 2, (height - tall) // 2
+    out = np.full((3, height, width), 114 / 255, np.float32)
+    out[:, top : top + tall, left : left + wide] = (upper * (1 - fy) + lower * fy)[..., ::-1].transpose(2, 0, 1) / 255
+    return out, scale, left, top

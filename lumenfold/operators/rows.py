@@ -113,3 +113,20 @@ def span_rates(runs: DataFrame, key: str) -> DataFrame:
     """Per ``key``: best time, wall span of all workers and samples a second over it."""
     span = F.max("t1") - F.min("t0")
     return runs.groupBy(key).agg(F.min(F.col("t1") - F.col("t0")).alias("best_sec"), span.alias("span_sec"), F.sum("samples").alias("samples")).withColumn("rate", F.round(F.when(F.col("span_sec") > 0, F.col("samples") / F.col("span_sec")), 6))
+
+
+def best_setting(runs: DataFrame, setting: str, rate: str, need: float) -> DataFrame:
+    """The setting of the highest rate (the least of equals), and how its rate stands to what is needed."""
+    best = runs.agg(F.min_by(F.struct(setting, rate), F.struct(-F.col(rate), F.col(setting))).alias("b")).select("b.*")
+    return best.withColumn("verdict", F.when(F.col(rate) >= 2 * need, "headroom").when(F.col(rate) >= need, "enough").otherwise("too slow"))
+
+
+def residual_errors(pairs: DataFrame, fields: list[str], limit: float = 0.97) -> DataFrame:
+    """A row per field that is less similar than ``limit``, the worst first; ``pairs`` has ``file_name`` and ``sim_<field>``."""
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"sim_{f}").alias("similarity")) for f in fields])).alias("e")
+    return pairs.select("file_name", each).select("file_name", "e.*").where(F.col("similarity") < limit).orderBy("similarity", "file_name", "field")
+
+
+def run_counters(events: DataFrame) -> DataFrame:
+    """One row: events, errors and duplicates of a finished run, in one pass."""
+    return events.agg(F.count("*").alias("events"), F.count_if(F.coalesce("model_error", F.lit("")) != "").alias("error_events"), F.count_if(F.coalesce("is_duplicate", F.lit(False))).alias("duplicates"))

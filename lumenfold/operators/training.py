@@ -64,3 +64,22 @@ def strategy_counts(manifest: DataFrame) -> DataFrame:
     every = manifest.sparkSession.createDataFrame([(i, s) for i, s in enumerate(STRATEGIES)], "place int, strategy string")
     n = manifest.groupBy("strategy").agg(F.count("*").alias("n"))
     return F.broadcast(every).join(n, "strategy", "left").select("strategy", "place", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def manifest(samples: DataFrame, labels: DataFrame, video: str, key: str = "stream_id") -> DataFrame:
+    """Rows of :data:`lumenfold.schemas.MANIFEST` of samples (``strategy, key, frame_idx``, box, scores), sorted by strategy and frame.
+
+    Names are made of strategy, video and frame.  ``labels`` has ``key, frame_idx, num_boxes, label_text``; negatives have neither label boxes nor a preview."""
+    from lumenfold.functions import geometry as G
+    from lumenfold.functions import text as T
+
+    place = F.array_position(F.array(*[F.lit(s) for s in STRATEGIES]), F.col("strategy"))
+    s = samples.join(labels, [key, "frame_idx"], "left").withColumn("place", F.when(place > 0, place).otherwise(len(STRATEGIES) + 1))
+    stem = F.concat_ws("_", "strategy", F.col(key).cast("string"), F.format_string("%07d", "frame_idx"))
+    drawn = F.col("strategy") != "negatives"
+    box, w, h = G.box("x1", "y1", "x2", "y2"), F.col("frame_w"), F.col("frame_h")
+    return s.orderBy("place", "frame_idx").select(
+        F.concat(F.lit("images/"), stem, F.lit(".jpg")).alias("image"), "strategy", F.bround("confidence", 4).alias("confidence"), F.bround("score", 4).alias("select_score"), "event_id", "frame_idx",
+        T.seconds_to_timestamp(F.col("timestamp_sec")).alias("time"), F.coalesce("num_boxes", F.lit(0)).cast("int").alias("num_boxes"), F.when(drawn, T.box_json(box)).alias("box_xyxy"), F.when(drawn, G.cxcywh(box, w, h)).alias("box_cxcywh"),
+        "frame_w", "frame_h", F.concat(F.lit("labels/"), stem, F.lit(".txt")).alias("label"), F.when(drawn, F.concat(F.lit("previews/"), stem, F.lit(".jpg"))).alias("preview"), F.lit(video).alias("video"),
+    )
