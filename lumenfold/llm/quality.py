@@ -24,6 +24,8 @@ from lumenfold.llm.common import batches, documents
 #: Buckets of the two filters.
 RATIO_BUCKETS, CLASSIFIER_BUCKETS = 1 << 18, 1 << 18
 PREFIXES = (4, 5)
+#: Ratio from which a document is kept (0: as likely under trusted documents as in the corpus), and what is added to each bucket.
+RATIO_THRESHOLD, RATIO_SMOOTHING = 0.0, 3.0
 #: Labelled ids that are broadcast at most (8 bytes each); beyond that the join shuffles.
 BROADCAST_IDS = 1 << 21
 
@@ -80,7 +82,7 @@ def of_ids(docs: DataFrame, ids: DataFrame, limit: int = BROADCAST_IDS) -> DataF
     return docs.join(F.broadcast(ids) if small else ids.hint("merge"), "doc_id", "left_semi")
 
 
-def importance_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = -0.012, smoothing: float = 3.0, buckets: int = RATIO_BUCKETS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+def importance_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = RATIO_THRESHOLD, smoothing: float = RATIO_SMOOTHING, buckets: int = RATIO_BUCKETS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """``doc_id, score, keep`` for every row of ``docs``.
 
     ``score`` is the mean over the text's n-grams of ``log p_trusted - log p_corpus``,

@@ -49,7 +49,7 @@ def test_ratio_against_brute_force(spark):
         scale = sum(target.values()) / sum(corpus.values())
         for i, own in grams.items():
             want = sum(log(target[g] + 3) - log(corpus[g] * scale + 3) for g in own) / len(own)
-            assert got[i][0] == pytest.approx(want, abs=2e-6) and got[i][1] == (got[i][0] >= -0.012)
+            assert got[i][0] == pytest.approx(want, abs=2e-6) and got[i][1] == (got[i][0] >= quality.RATIO_THRESHOLD)
 
 
 def test_classifier_on_held_out_documents(spark):
