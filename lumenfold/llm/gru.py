@@ -26,6 +26,8 @@ from lumenfold.llm.common import documents
 
 RARE = 64
 WINDOW = 32
+#: Documents train in pieces of at most so many tokens (each starts from state zero), so that no lane outlasts the others; scoring never cuts.
+PIECE = 2048
 LANES = 512
 #: Floats of a parameter block, and partial averages that are averaged at a time.
 BLOCK, FAN = 4096, 256
@@ -217,6 +219,15 @@ def _carry(h: np.ndarray, k: int, hidden: int, last: np.ndarray | None) -> np.nd
     return np.zeros((k, hidden), np.float32) if last is None else last[:k]
 
 
+def pieces(sizes: np.ndarray) -> np.ndarray:
+    """Sizes of the pieces that documents train in, in order."""
+    n = -(-sizes // PIECE)
+    out = np.full(n.sum(), PIECE, np.int64)
+    some = n > 0
+    out[np.cumsum(n)[some] - 1] = (sizes - (n - 1) * PIECE)[some]
+    return out
+
+
 def train(p: Params, v: Vocabulary, tokens: np.ndarray, sizes: np.ndarray, adam: dict, rate: float = 0.01) -> Params:
     """Updates ``p`` in place over some documents, once each."""
     hidden, last = p["wh"].shape[0], None
@@ -327,7 +338,7 @@ def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int =
             adam, n = {"t": 0}, 0
             for batch in it:
                 tokens, sizes = _coded(batch.column("text"), v)
-                train(own, v, tokens, sizes, adam)
+                train(own, v, tokens, pieces(sizes), adam)
                 n += len(tokens)
             if n:
                 flat = np.concatenate([a.reshape(-1) for a in own.values()])
