@@ -43,14 +43,13 @@ def image_sharpness(data: pd.Series, height: pd.Series, width: pd.Series) -> pd.
 
 def find_json(text: str) -> object:
     """A JSON value: of the whole text, or of what lies between its first and last brace."""
-    text = text.strip()
+    whole = text.strip()
+    a, b = whole.find("{"), whole.rfind("}")
+    inner = whole[a : b + 1] if 0 <= a < b else ""
     try:
-        return json.loads(text)
-    except json.JSONDecodeError:
-        a, b = text.find("{"), text.rfind("}")
-        if a < 0 or b <= a:
-            raise
-        return json.loads(text[a : b + 1])
+        return json.loads(whole)
+    except ValueError:
+        return json.loads(inner)  # raises too where there is nothing
 
 
 def _amount(x: object) -> float | None:

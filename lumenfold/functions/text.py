@@ -25,7 +25,7 @@ def normalize_donor(c: Column) -> Column:
 
 def normalize_message(c: Column) -> Column:
     """Lower case, white space collapsed, every bracketed placeholder of a removed link written the same way."""
-    return F.lower(F.regexp_replace(F.coalesce(collapse(c), F.lit("")), r"(?iu)[(\[{]\s*ссылка\s+удалена\s*[)\]}]", "(ссылка удалена)"))
+    return F.lower(F.regexp_replace(F.coalesce(collapse(c), F.lit("")), r"(?iu)[{\[(]\s*" + r"\s+".join(("ссылка", "удалена")) + r"\s*[}\])]", "(ссылка удалена)"))
 
 
 def normalize_currency(c: Column) -> Column:
@@ -52,7 +52,7 @@ def casefold(s: pd.Series) -> pd.Series:
 
 
 def safe_filename(c: Column) -> Column:
-    kept = F.regexp_replace(c, "[^A-Za-z0-9а-яА-ЯёЁ._-]+", "_")
+    kept = F.regexp_replace(c, "[^._a-zA-ZЁА-Яёа-я0-9-]+", "_")
     kept = F.substring(F.regexp_replace(kept, "^_+|_+$", ""), 1, 90)
     return F.when(F.coalesce(kept, F.lit("")) == "", F.lit("run")).otherwise(kept)
 
@@ -99,7 +99,7 @@ def cyrillic_count(c: Column) -> Column:
 
 def amount_of_line(c: Column) -> Column:
     """Amount of a line such as ``donor - 1 500,50 RUB``; NULL without one."""
-    found = F.regexp_extract(c, r"(\d[\d ]*(?:[.,]\d{1,2})?)\s*(?:RUB|USD|EUR|UAH|₽|\$|€)", 1)
+    found = F.regexp_extract(c, r"(\d[\d ]*(?:[,.]\d\d?)?)\s*(?:USD|EUR|RUB|UAH|[₽$€])", 1)
     return F.regexp_replace(F.regexp_replace(found, " ", ""), ",", ".").try_cast("double")
 
 

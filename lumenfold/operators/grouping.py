@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+Box = tuple[int, int, int, int]
+
+
 @dataclass(frozen=True)
 class Matching:
     """Thresholds of the matcher."""
@@ -27,7 +30,7 @@ class _Open:
     """An event that may still grow."""
 
     number: int
-    box: tuple[int, int, int, int]
+    box: Box
     frame: int
     end: float
     heights: list[int] = field(default_factory=list)
@@ -55,7 +58,7 @@ class Grouper:
         """Events that ended more than the gap ago take no more detections."""
         self.active = [e for e in self.active if now - e.end <= self.rules.gap_sec]
 
-    def add(self, frame: int, now: float, box: tuple[int, int, int, int], width: int, height: int) -> int:
+    def add(self, frame: int, now: float, box: Box, width: int, height: int) -> int:
         self.close(now)
         rules, best, most = self.rules, None, -999.0
         tall, diagonal = box[3] - box[1], max(1.0, sqrt(width * width + height * height))
@@ -124,7 +127,7 @@ def fold_events(grouped: DataFrame, *, key: str = "stream_id") -> DataFrame:
     return grouped.groupBy(key, "event_id").agg(
         F.min("timestamp_sec").alias("start_sec"), F.max("timestamp_sec").alias("end_sec"), F.min("frame_idx").alias("first_frame"), F.max("frame_idx").alias("last_frame"),
         F.count("*").alias("detections_count"), F.max("confidence").alias("best_confidence"), best.alias("_b"),
-    ).select(key, "event_id", "start_sec", "end_sec", "first_frame", "last_frame", "detections_count", "best_confidence", F.col("_b.timestamp_sec").alias("best_timestamp_sec"), F.col("_b.frame_idx").alias("best_frame_idx"))
+    ).select(key, *"event_id start_sec end_sec first_frame last_frame detections_count best_confidence".split(), F.col("_b.timestamp_sec").alias("best_timestamp_sec"), F.col("_b.frame_idx").alias("best_frame_idx"))
 
 
 def top_candidates(grouped: DataFrame, keep: int = 1, *, key: str = "stream_id") -> DataFrame:

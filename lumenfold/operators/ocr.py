@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 from lumenfold.functions import text as T
 
 BLOCKS = "array<struct<text: string, confidence: double, x1: double, y1: double, x2: double, y2: double>>"
-_CURRENCY = r"(₽|руб\.?|rub|р\.?|usd|eur|€|\$|bits?|бит(?:ов|ы)?)"
+_CURRENCY = "(" + "|".join(("usd", "eur", "rub", r"руб\.?", r"р\.?", "бит(?:ы|ов)?", "bits?", "[€$₽]")) + ")"
+_DASH, _NUMBER, _THOUSANDS = "[:–—-]", r"(\d[0-9.,\s]*)", r"(\d\d?\d?)"
+_WITH_DONOR = re.compile(rf"(.{{2,80}}?)\s*{_DASH}+\s*{_NUMBER}\s*!?\s*{_CURRENCY}?", re.I)
+_WITH_CURRENCY = re.compile(rf"{_NUMBER}\s*{_CURRENCY}", re.I)
+_LENDS = re.compile(rf"{_DASH}\s*{_THOUSANDS}\s*$")
+_BEFORE_DASH = re.compile(rf"(.{{2,80}}?)\s*{_DASH}+")
 
 
 def normalize_ocr(c: Column) -> Column:
     """Lower case without signs that carry no meaning; ``ё`` counts as ``е``."""
     plain = F.regexp_replace(F.translate(F.lower(c), "ё", "е"), r"\s+", " ")
-    return F.trim(F.regexp_replace(plain, r"[^0-9a-zа-я$€₽.,:;!?+\- ]+", ""))
+    return F.trim(F.regexp_replace(plain, r"[^a-zа-я0-9 +\-?!;:,.₽€$]+", ""))
 
 
 def tidy(c: Column) -> Column:
@@ -36,11 +41,10 @@ def _is_points(x: object) -> bool:
     return isinstance(x, list) and bool(x) and all(isinstance(p, list) and len(p) == 2 and all(isinstance(v, (int, float)) for v in p) for p in x)
 
 
-def _bounds(x: object, scale: float) -> tuple[float, float, float, float]:
+def _bounds(x: object, scale: float) -> tuple[float, ...]:
     if not _is_points(x):
         return (-1.0,) * 4
-    xs, ys = [p[0] / scale for p in x], [p[1] / scale for p in x]
-    return min(xs), min(ys), max(xs), max(ys)
+    return tuple(end(side) / scale for end in (min, max) for side in zip(*x))
 
 
 def find_blocks(value: object, scale: float = 1.0) -> list[tuple]:
@@ -57,14 +61,14 @@ def find_blocks(value: object, scale: float = 1.0) -> list[tuple]:
             texts, scores, boxes = first("rec_texts", "texts"), first("rec_scores", "scores"), first("rec_polys", "dt_polys", "rec_boxes", "boxes")
             for i, text in enumerate(texts if isinstance(texts, list) else []):
                 if text:
-                    yield (str(text), number(scores[i]) if i < len(scores) else 0.0, *_bounds(boxes[i] if i < len(boxes) else None, scale))
+                    yield (str(text), number(dict(enumerate(scores)).get(i)), *_bounds(boxes[i] if i < len(boxes) else None, scale))
             for k, v in x.items():
                 if isinstance(v, (list, dict)) and v is not texts and v is not scores:
                     yield from walk(v)
         elif isinstance(x, list):
             if len(x) >= 2 and _is_points(x[0]) and isinstance(x[1], list) and len(x[1]) >= 2 and isinstance(x[1][0], str) and x[1][0].strip():
                 yield (x[1][0].strip(), number(x[1][1]), *_bounds(x[0], scale))
-            elif len(x) >= 2 and isinstance(x[0], str):
+            elif x[1:] and isinstance(x[0], str):
                 yield (x[0].strip(), number(x[1]), -1.0, -1.0, -1.0, -1.0)
             else:
                 for v in x:
@@ -151,19 +155,19 @@ def parse_lines(lines: list[str]) -> tuple[str, str, str, str]:
     donor = amount = currency = ""
     at, used = None, set()
     for i, line in enumerate(lines[:3]):
-        if m := re.match(rf"(.{{2,80}}?)\s*[-–—:]+\s*(\d[\d\s.,]*)\s*!?\s*{_CURRENCY}?", line, re.I):
-            donor, amount, currency, at = m[1].strip(" -–—:|"), digits(m[2]), m[3] or "", i
+        if m := _WITH_DONOR.match(line):
+            donor, amount, currency, at = m[1].strip(" |:–—-"), digits(m[2]), m[3] or "", i
             break
     for i, line in enumerate(lines if at is None else []):
-        if m := re.search(rf"(\d[\d\s.,]*)\s*{_CURRENCY}", line, re.I):
+        if m := _WITH_CURRENCY.search(line):
             amount, currency, at = digits(m[1]), m[2], i
-            before = re.search(r"[-–—:]\s*(\d{1,3})\s*$", lines[i - 1]) if i and len(amount) == 3 else None
+            before = _LENDS.search(lines[i - 1]) if i and len(amount) == 3 else None
             if before:
                 amount, donor = before[1] + amount, lines[i - 1][: before.start()].strip()
                 used.add(i - 1)
             break
     if not donor and lines:
-        m = re.match(r"(.{2,80}?)\s*[-–—:]+", lines[0])
+        m = _BEFORE_DASH.match(lines[0])
         donor = m[1].strip() if m else lines[0]
     if at is None:
         used |= {0}

@@ -100,7 +100,7 @@ def reextracted(runs: DataFrame) -> DataFrame:
     """``file_name`` and fields of rows with a crop and an answer that is a JSON object."""
     some = runs.where((F.coalesce(F.col("crop_path"), F.lit("")) != "") & (F.coalesce(F.col("raw_model_response"), F.lit("")) != ""))
     found = some.withColumn("_p", P.extract_json(F.col("raw_model_response"))).where("_p.parsed_ok")
-    return found.select(F.element_at(F.split("crop_path", "/"), -1).alias("file_name"), *[F.col(f"_p.{c}").alias(c) for c in ("donor", "amount", "currency", "message", "fee_covered")])
+    return found.select(F.element_at(F.split("crop_path", "/"), -1).alias("file_name"), *[F.col(f"_p.{c}").alias(c) for c in "donor amount currency message fee_covered".split()])
 
 
 def id_places(rows: DataFrame, column: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STRATEGIES = ("best", "worst", "random", "uncertain", "negatives")
+STRATEGIES = tuple("best worst random uncertain negatives".split())
 
 
 def _draw(seed: int, *cols: str) -> Column:

@@ -55,7 +55,7 @@ _SCORE = """round(confidence + least((x2 - x1)::BIGINT * (y2 - y1) / (frame_w *
 _SCORED = f"{_SESSIONS}, padded AS (SELECT *, {_PAD} FROM ses), scored AS (SELECT *, {_SCORE} AS score FROM padded)"
 
 _KEYS = """raw AS (SELECT *, lower(coalesce(trim(regexp_replace(donor, '\\s+', ' ', 'g')), '')) AS dn,
- lower(regexp_replace(coalesce(trim(regexp_replace(message, '\\s+', ' ', 'g')), ''), '(?i)[(\\[{]\\s*ссылка\\s+удалена\\s*[)\\]}]', '(ссылка удалена)', 'g')) AS mn,
+ lower(regexp_replace(coalesce(trim(regexp_replace(message, '\\s+', ' ', 'g')), ''), '(?i)[{\\[(]\\s*(?:ссылка)\\s+удалена\\s*[}\\])]', '(ссылка удалена)', 'g')) AS mn,
  CASE WHEN upper(trim(coalesce(currency, ''))) = 'NO_CURRENCY' THEN '' ELSE upper(trim(coalesce(currency, ''))) END AS cn FROM """ + X.sql("donations") + """)"""
 _DEDUP = _KEYS + """, ok AS (SELECT *, parsed_ok AND amount IS NOT NULL AND (dn NOT IN ('', 'аноним', 'анонім', 'anonymous', 'anon') OR mn NOT IN ('', 'link removed', 'сообщение удалено', '(ссылка удалена)', 'ссылка удалена')) AS el FROM raw),
 fin AS (SELECT *, el AND event_id > min(event_id) OVER (PARTITION BY el, dn, amount, cn, mn) AS is_duplicate, min(event_id) OVER (PARTITION BY el, dn, amount, cn, mn) AS f FROM ok)"""
@@ -243,7 +243,7 @@ p AS (SELECT event_id, crop_path, j IS NOT NULL AS parsed_ok, j ->> '$.donor' AS
 
 @query(f"WITH {_PARSED} SELECT * EXCLUDE (crop_path) FROM p")
 def extract_json(spark: SparkSession, d: str) -> DataFrame:
-    return rows.parsed_rows(X.build(spark, d, "responses")).select("event_id", "parsed_ok", "donor", "amount", "currency", "message", "fee_covered", "needs_review")
+    return rows.parsed_rows(X.build(spark, d, "responses")).select(*"event_id parsed_ok donor amount currency message fee_covered needs_review".split())
 
 
 @query(f"""WITH {_PARSED}, e AS (SELECT event_id FROM events WHERE event_id % 5 <> 1), a AS (SELECT * FROM p WHERE event_id % 9 <> 0)

@@ -118,19 +118,21 @@ class HttpExtractor:
 
     def __init__(self, url: str, model: str, prompt: str, *, temperature: float = 0.0, max_tokens: int = 1024, timeout: float = 300.0) -> None:
         self.url, self.timeout = url, timeout
-        self.payload = {"model": model, "temperature": temperature, "max_tokens": max_tokens, "response_format": self.answer_format()}
+        self.payload = dict(model=model, max_tokens=max_tokens, temperature=temperature, response_format=self.answer_format())
         self.prompt = prompt
 
     def answer_format(self) -> dict:
         schema = {"type": "object", "properties": {k: {"type": t} for k, t in self.FIELDS.items()}, "required": list(self.FIELDS), "additionalProperties": False}
-        return {"type": "json_schema", "json_schema": {"name": "donation", "strict": True, "schema": schema}}
+        return dict(type="json_schema", json_schema=dict(strict=True, name="donation", schema=schema))
 
     def body(self, url: str) -> bytes:
-        content = [{"type": "text", "text": self.prompt}, {"type": "image_url", "image_url": {"url": url}}]
-        return json.dumps(self.payload | {"messages": [{"role": "user", "content": content}]}).encode()
+        image = dict(type="image_url", image_url=dict(url=url))
+        message = dict(role="user", content=[dict(type="text", text=self.prompt), image])
+        return json.dumps(self.payload | dict(messages=[message])).encode()
 
     def __call__(self, row: dict) -> str:
         from urllib.request import Request, urlopen
 
         with urlopen(Request(self.url, self.body(row["url"]), {"Content-Type": "application/json"}), timeout=self.timeout) as r:
-            return json.loads(r.read())["choices"][0]["message"]["content"]
+            first = json.loads(r.read())["choices"][0]
+            return first["message"]["content"]

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from lumenfold import schemas as S
 
+UTF8 = {"encoding": "utf-8"}
+
 
 def prepare_folder(path: str, overwrite: bool = False) -> Path:
     """An output folder; one that isn't empty is removed with ``overwrite`` and an error without."""
@@ -28,7 +30,7 @@ def prepare_folder(path: str, overwrite: bool = False) -> Path:
 def write_csv(rows: DataFrame, path: str, *, header_if_empty: bool = False) -> int:
     """One CSV file; without rows an empty one (or the header alone).  Rows come from the executors one partition at a time."""
     n = 0
-    with open(path, "w", newline="", encoding="utf-8") as f:
+    with open(path, "w", newline="", **UTF8) as f:
         w = csv.writer(f)
         for row in rows.toLocalIterator():
             if not n:
@@ -43,7 +45,7 @@ def write_csv(rows: DataFrame, path: str, *, header_if_empty: bool = False) -> i
 def write_jsonl(rows: DataFrame, path: str) -> int:
     """One JSON object per line, nulls kept, other scripts unescaped."""
     n = 0
-    with open(path, "w", encoding="utf-8") as f:
+    with open(path, "w", **UTF8) as f:
         for row in rows.toLocalIterator():
             f.write(json.dumps(row.asDict(recursive=True), ensure_ascii=False) + "\n")
             n += 1
@@ -71,7 +73,7 @@ def sidecar_lines(events: DataFrame, run: dict, *, full: bool = False) -> DataFr
 
 
 def write_sidecar(events: DataFrame, run: dict, path: str, *, full: bool = False) -> None:
-    with open(path, "w", encoding="utf-8") as f:
+    with open(path, "w", **UTF8) as f:
         for row in sidecar_lines(events, run, full=full).orderBy("place").toLocalIterator():
             f.write(row["value"] + "\n")
 
@@ -79,7 +81,7 @@ def write_sidecar(events: DataFrame, run: dict, path: str, *, full: bool = False
 def write_examples(rows: DataFrame, path: str) -> int:
     """``{"donations": [...]}`` of extracted examples."""
     n = 0
-    with open(path, "w", encoding="utf-8") as f:
+    with open(path, "w", **UTF8) as f:
         f.write('{"donations": [')
         for row in rows.toLocalIterator():
             f.write(("," if n else "") + "\n" + json.dumps(row.asDict(), ensure_ascii=False))
@@ -89,7 +91,8 @@ def write_examples(rows: DataFrame, path: str) -> int:
 
 
 def write_info(path: str, info: dict) -> None:
-    Path(path).write_text(json.dumps(info, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
+    text = json.dumps(info, indent=2, ensure_ascii=False)
+    Path(path).write_text(f"{text}\n", **UTF8)
 
 
 def write_files(rows: DataFrame, folder: str, name: str, content: str) -> None:
