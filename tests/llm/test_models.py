@@ -255,3 +255,8 @@ def test_hashed_and_coded_agree():
     v = gru.Vocabulary(np.unique(h), np.ones(len(np.unique(h)), np.int64), np.full(gru.RARE, 1), 2)
     ids, other = gru._coded(texts, v)
     assert sizes.tolist() == other.tolist() == [3, 0, 0, 3] and (ids == v.ids(h)).all()
+
+
+def test_pieces_cover_documents():
+    sizes = np.array([0, 1, gru.PIECE - 1, gru.PIECE, gru.PIECE + 1, 0, 3 * gru.PIECE])
+    assert gru.pieces(sizes).tolist() == [1, gru.PIECE - 1, gru.PIECE, gru.PIECE, 1] + [gru.PIECE] * 3
