@@ -276,7 +276,7 @@ def near_duplicates(docs: DataFrame, *, radius: int = 7, radius2: int = 14) -> D
     own = sketches(known, pairs=True).select("doc_id", F.coalesce("fp", no_word).alias("fp"), F.coalesce("fp2", no_word).alias("fp2"))
     own = checkpoint(own.groupBy("doc_id").agg(F.min(F.struct("fp", "fp2")).alias("s")).select("doc_id", "s.fp", "s.fp2"))
     nodes = own.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep"))
-    sub = -(-parts(docs.sparkSession, 4) // len(masks))
+    sub = -(-parts(docs.sparkSession, 16) // len(masks))  # small, even groups
 
     def found(key: tuple, t: pa.Table) -> pa.Table:
         x, cut = _entries(t.column("blob"), 2, masks[key[0].as_py()])
