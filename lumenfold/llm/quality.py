@@ -119,9 +119,9 @@ def dual_coordinate_descent(features: list[np.ndarray], scale: np.ndarray, sign:
     """Weights and bias of a linear L1-loss support vector machine over scaled, length-normalised indicators."""
     w, bias, rng = np.zeros(len(scale)), 0.0, np.random.default_rng(seed)
     x = [scale[f] for f in features]
-    x = [v / max(np.sqrt(v @ v), 1e-12) for v in x]
+    x = [(v / max(np.sqrt(v @ v), 1e-12)).astype(np.float32) for v in x]
     alpha = np.zeros(len(x))
-    square = np.array([v @ v for v in x]) + 1.0  # and the constant feature
+    square = np.array([float(v @ v) for v in x]) + 1.0  # and the constant feature
     weight = cost * len(sign) / (2 * np.maximum(1, np.where(sign > 0, (sign > 0).sum(), (sign < 0).sum())))
     for _ in range(epochs):
         for i in rng.permutation(len(x)):
@@ -157,11 +157,13 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 80
     rows = found.mapInArrow(batches(one), "doc_id long, good boolean, set binary").toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     good = rows.column("good").to_numpy()[order].astype(bool)
-    sets = rows.column("set").to_pylist()
-    sets = [np.frombuffer(sets[i], np.int32) for i in order]
+    raw = [np.frombuffer(b.as_buffer(), np.int32) for b in rows.column("set")]  # views, no copies
+    sets = [raw[i] for i in order]
     if good.all() or not good.any():
         return {"weights": np.zeros(buckets, np.float32), "scale": np.ones(buckets, np.float32), "bias": 0.0, "buckets": buckets}
-    count = [np.bincount(np.concatenate([s for s, g in zip(sets, good) if g == side]), minlength=buckets) for side in (True, False)]
+    count = np.zeros((2, buckets), np.int64)
+    for s, g in zip(sets, good):
+        count[0 if g else 1][s] += 1  # a set holds a bucket once
     scale = np.log(count[0] * (count[1].sum() / max(1, count[0].sum())) + smoothing) - np.log(count[1] + smoothing)
     w, bias = dual_coordinate_descent(sets, scale, np.where(good, 1.0, -1.0))
     return {"weights": (w * scale).astype(np.float32), "scale": np.abs(scale).astype(np.float32), "bias": float(bias), "buckets": buckets}
