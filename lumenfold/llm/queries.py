@@ -52,7 +52,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_removed")
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Query]:
