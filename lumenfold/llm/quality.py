@@ -139,7 +139,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 80
     """A model for :func:`classify` from at most about ``max_labelled`` labelled documents, chosen by a hash of ``doc_id``.
 
     The bound holds what the driver gathers (some 40 MB); all labelled documents are
-    used below it.  Without labelled documents of both kinds the model keeps everything."""
+    used below it.  Without labelled documents of both kinds the model
+    keeps every text that isn't empty: each has margin 1, that of a support vector."""
     known = trusted(labels)
     n = known.count()
     if n > max_labelled:
@@ -160,7 +161,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 80
     raw = [np.frombuffer(b.as_buffer(), np.int32) for b in rows.column("set")]  # views, no copies
     sets = [raw[i] for i in order]
     if good.all() or not good.any():
-        return {"weights": np.zeros(buckets, np.float32), "scale": np.ones(buckets, np.float32), "bias": 0.0, "buckets": buckets}
+        return {"weights": np.zeros(buckets, np.float32), "scale": np.ones(buckets, np.float32), "bias": 1.0, "buckets": buckets}
     count = np.zeros((2, buckets), np.int64)
     for s, g in zip(sets, good):
         count[0 if g else 1][s] += 1  # a set holds a bucket once

@@ -63,6 +63,15 @@ def test_classifier_on_held_out_documents(spark):
     assert kept == {i for i, k in got.items() if k}
 
 
+def test_labels_of_one_kind_keep_everything(spark):
+    docs, labels = labelled(40)
+    d, lab = frames(spark, [*docs, (50, " \n"), (51, ""), (52, None)], labels)
+    for known in (lab.limit(0), lab.where("toxic = 0"), lab.where("toxic = 1"), lab.withColumn("doc_id", lab["doc_id"] + 1000)):
+        model = quality.fit_classifier(d, known)
+        assert {r["doc_id"] for r in quality.classify(d, model).where("keep").collect()} == set(range(40))
+        assert {r["doc_id"] for r in quality.keep_good(d, model).collect()} == set(range(40))
+
+
 def test_dual_coordinate_descent_reaches_the_optimum():
     rng = np.random.default_rng(0)
     x = (rng.random((60, 12)) < 0.4).astype(float)
