@@ -1,7 +1,10 @@
 """A gated recurrent language model in numpy, trained on the whole corpus, that scores whole documents.
 
 Words (runs of letters and digits, or of punctuation, in lower case) have ids by
-their frequency in the corpus; rarer ones share ``RARE`` hashed ids.  The output
+their frequency in the corpus; rarer ones share ``RARE`` hashed ids, and a rare word
+has the probability of its id times its share of all words counted under that id.  The
+vocabulary grows with the corpus: it has every word that is counted ``COMMON`` times the
+square root of the number of tokens, and the classes grow with it.  The output
 softmax is factored into classes of about equal summed square-root frequency.
 
 Documents run side by side in *lanes*, one after the other in a lane; the state is
@@ -22,9 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.llm import words as W
-from lumenfold.llm.common import documents
+from lumenfold.llm.common import checkpoint, documents, parts, split
 
 RARE = 64
+#: A word has an id of its own where its count is at least so many square roots of the number of tokens (or it is one of the ``words`` most frequent).
+COMMON = 0.5
 WINDOW = 32
 #: Documents train in pieces of at most so many tokens (each starts from state zero), so that no lane outlasts the others; scoring never cuts.
 PIECE = 2048
@@ -56,6 +61,10 @@ class Vocabulary:
         in_class = np.unique(in_class, return_inverse=True)[1]
         self.class_of = in_class.astype(np.int16)  # by place
         self.cut = np.searchsorted(in_class, np.arange(in_class[-1] + 2))
+        self.rare = rare  # words counted under each rare id
+        self.is_rare = np.zeros(self.size, bool)
+        self.is_rare[self.place_of[len(hashes) :]] = True
+        self.dtype = np.int16 if self.size < 1 << 15 else np.int32
         self.classes = int(in_class[-1]) + 1
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
@@ -284,10 +293,10 @@ def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _coded(texts: pa.Array, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     data, offsets, _ = W.buffers(texts)
-    ids, sizes = [np.zeros(0, np.int16)], np.zeros(len(texts), np.int64)
+    ids, sizes = [np.zeros(0, v.dtype)], np.zeros(len(texts), np.int64)
     for a, b in W.groups(offsets):
         starts, ends, rows = W.tokens(data, offsets[a : b + 1])
-        ids.append(v.ids(W.hashes(data, starts, ends)).astype(np.int16))
+        ids.append(v.ids(W.hashes(data, starts, ends)).astype(v.dtype))
         sizes[a:b] = np.bincount(rows, minlength=b - a)
     return np.concatenate(ids), sizes
 
@@ -298,12 +307,36 @@ def _word_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
 
-def vocabulary(docs: DataFrame, *, words: int = 1024, classes: int = 32) -> Vocabulary:
-    """From the counts of all words of all documents; ``words`` rows and a row per rare id reach the driver."""
-    counts = docs.select("text").mapInArrow(_word_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "h").limit(words).toArrow()
+def _rare_counts(hashes: np.ndarray):
+    """mapInArrow function: the counts of the words that aren't among ``hashes``, summed by rare id."""
+    known = np.sort(hashes)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(RARE, np.int64)
+        for batch in it:
+            h, n = batch.column("h").to_numpy().view(np.uint64), batch.column("n").to_numpy()
+            rare = ~np.isin(h, known)
+            np.add.at(total, (h[rare] % np.uint64(RARE)).astype(np.int64), n[rare])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(RARE, dtype=np.int32)), pa.array(total)], ["id", "n"])
+
+    return run
+
+
+def vocabulary(docs: DataFrame, *, words: int = 1024, classes: int = 32) -> tuple[Vocabulary, DataFrame]:
+    """From the counts of all words of all documents, and these counts (``h, n``).
+
+    ``words`` and ``classes`` are the least of each; the driver gets the words of the
+    vocabulary (at most 2 square roots of the number of tokens, or ``words``) and a row per rare id."""
+    counts = checkpoint(docs.select("text").mapInArrow(_word_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
+    tokens = counts.agg(F.sum("n")).first()[0] or 0
+    common = counts.where(F.col("n") >= max(2, COMMON * tokens**0.5))
+    few = counts.orderBy(F.desc("n"), "h").limit(words)
+    top = common.union(few).distinct().orderBy(F.desc("n"), "h").toArrow()
     hashes, n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
-    return Vocabulary(hashes, n, np.full(RARE, max(1, int(n.min(initial=1)))), classes)
+    rare = np.zeros(RARE, np.int64)
+    for row in counts.mapInArrow(_rare_counts(hashes), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+        rare[row["id"]] = row["n"]
+    return Vocabulary(hashes, n, rare, max(classes, int((len(hashes) + RARE) ** 0.5)) if len(hashes) > words else classes), counts
 
 
 def _average(rows: DataFrame, partitions: int) -> DataFrame:
@@ -321,15 +354,15 @@ def _average(rows: DataFrame, partitions: int) -> DataFrame:
         partitions = -(-partitions // FAN)
 
 
-def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int = 16, rounds: int = 3) -> tuple[Params, Vocabulary]:
-    """Vocabulary and parameters from all of ``docs`` (``doc_id, text``); round r trains on the documents whose hash is r."""
+def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int = 16, rounds: int = 3) -> tuple[Params, Vocabulary, DataFrame]:
+    """Parameters, vocabulary and counts of all words from all of ``docs`` (``doc_id, text``); round r trains on the documents whose hash is r."""
     spark = docs.sparkSession
-    v = vocabulary(docs, words=words, classes=classes)
+    v, counts = vocabulary(docs, words=words, classes=classes)
     p = initial(v.size, v.classes, hidden)
     names, shapes = list(p), [a.shape for a in p.values()]
     edge = np.cumsum([0] + [a.size for a in p.values()])
     for r in range(rounds):
-        sent = spark.sparkContext.broadcast((p, v))  # under 1 MB, whatever the corpus
+        sent = spark.sparkContext.broadcast((p, v))  # 140 bytes a word of the vocabulary
 
         def run(it: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
@@ -351,25 +384,102 @@ def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int =
         if rows:
             flat = np.concatenate([np.frombuffer(x["x"], np.float32) for x in sorted(rows, key=lambda x: x["block"])])
             p = {k: flat[a:b].reshape(s).copy() for k, s, a, b in zip(names, shapes, edge, edge[1:])}
-    return p, v
+    return p, v, counts
+
+
+_PARTS = "kind int, source long, shard int, x binary, y binary"
+_BASE, _WORDS, _COUNTS = range(3)
+
+
+def _part(kind: int, source: int, shards: list[int], x: list[bytes], y: list[bytes]) -> pa.RecordBatch:
+    n = len(shards)
+    cols = [pa.array([kind] * n, pa.int32()), pa.array([source] * n, pa.int64()), pa.array(shards, pa.int32()), pa.array(x, pa.binary()), pa.array(y, pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, ["kind", "source", "shard", "x", "y"])
 
 
-def score_documents(docs: DataFrame, model: tuple[Params, Vocabulary]) -> DataFrame:
+def _sharded(kind: int, source: int, shards: int, hashes: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
+    """Hashes and what belongs to them, a row per shard."""
+    to = (hashes >> np.uint64(32)) % np.uint64(shards)
+    to = to.astype(np.int16 if shards < 1 << 15 else np.int32)
+    found = list(split(np.argsort(to, kind="stable"), to))
+    return _part(kind, source, [g for g, _ in found], [hashes[at].tobytes() for _, at in found], [other[at].tobytes() for _, at in found])
+
+
+def _shares(totals: np.ndarray):
+    """applyInArrow function for a shard: per source the rows and the summed log-shares of their rare words; documents pass."""
+    log_total = np.log(totals + 1.0)  # and one for all unknown words
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        kind = t.column("kind").to_numpy()
+        known = t.filter(pa.array(kind == _COUNTS))
+        h = np.frombuffer(b"".join(known.column("x").to_pylist()), np.uint64)
+        n = np.frombuffer(b"".join(known.column("y").to_pylist()), np.int64)
+        order = np.argsort(h)
+        h, log_n = h[order], np.log(n[order])
+        words, out = t.filter(pa.array(kind == _WORDS)), [t.filter(pa.array(kind == _BASE))]
+        for source, x, y in zip(words.column("source").to_pylist(), words.column("x"), words.column("y")):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.int32)
+            log = -log_total[(x % np.uint64(RARE)).astype(np.int64)]
+            if len(h):
+                at = np.minimum(np.searchsorted(h, x), len(h) - 1)
+                log += np.where(h[at] == x, log_n[at], 0.0)
+            first = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]]))
+            out.append(pa.Table.from_batches([_part(_WORDS, source, [-1], [y[first].tobytes()], [np.add.reduceat(log, first).tobytes()])]).cast(t.schema))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def _finished(key: tuple, t: pa.Table) -> pa.Table:
+    """Documents of a source, with the log-shares of their rare words added in the order of the shards' first words."""
+    found = sorted(zip(t.column("kind").to_pylist(), t.column("x").to_pylist(), t.column("y").to_pylist()))
+    docs = pa.ipc.open_stream(found[0][1]).read_all()
+    log = docs.column("log_likelihood").to_numpy(zero_copy_only=False).copy()
+    for _, x, y in found[1:]:
+        log[np.frombuffer(x, np.int32)] += np.frombuffer(y, np.float64)
+    sizes = docs.column("n_tokens")
+    null, n = sizes.is_null().to_numpy(), sizes.fill_null(0).to_numpy()
+    return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": sizes, "log_likelihood": pa.array(log, mask=null), "per_token": pa.array(log / np.maximum(n, 1), mask=n == 0)})
+
+
+def score_documents(docs: DataFrame, model: tuple[Params, Vocabulary, DataFrame]) -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, per_token`` for every row of ``docs``.
 
-    Natural logarithms, each text as a whole.  A text without tokens has log-likelihood 0
-    and a NULL ``per_token``; a NULL text has NULLs."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    Natural logarithms, each text as a whole.  A rare word has the probability of its id
+    times ``n / (total + 1)``, its count and that of its id in the corpus; all unknown
+    words of an id share the one that is left.  Rare words meet their counts in a shuffle
+    (12 bytes a word).  A text without tokens has log-likelihood 0 and a NULL ``per_token``; a NULL text has NULLs."""
+    p, v, counts = model
+    sent = docs.sparkSession.sparkContext.broadcast((p, v))
+    shards = parts(docs.sparkSession)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        source = TaskContext.get().partitionId() << 32
         for batch in it:
             p, v = sent.value
-            tokens, sizes = _coded(batch.column("text"), v)
+            hashes, sizes = _hashed(batch.column("text"))
+            tokens = v.ids(hashes).astype(v.dtype)
             log = score(p, v, tokens, sizes)
             null = batch.column("text").is_null().to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes.astype(np.int32), mask=null), pa.array(log, mask=null), pa.array(log / np.maximum(sizes, 1), mask=sizes == 0)], ["doc_id", "n_tokens", "log_likelihood", "per_token"])
+            base = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes.astype(np.int32), mask=null), pa.array(log)], ["doc_id", "n_tokens", "log_likelihood"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, base.schema) as writer:
+                writer.write_batch(base)
+            yield _part(_BASE, source, [source % shards], [sink.getvalue().to_pybytes()], [b""])
+            rare = np.flatnonzero(v.is_rare[tokens])
+            if len(rare):
+                yield _sharded(_WORDS, source, shards, hashes[rare], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[rare])
+            source += 1
+
+    def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            if batch.num_rows:
+                yield _sharded(_COUNTS, -1, shards, batch.column("h").to_numpy().view(np.uint64), batch.column("n").to_numpy())
 
-    return docs.mapInArrow(run, "doc_id long, n_tokens int, log_likelihood double, per_token double")
+    met = docs.mapInArrow(run, _PARTS).union(counts.mapInArrow(counted, _PARTS)).groupBy("shard").applyInArrow(_shares(v.rare), _PARTS)
+    return met.groupBy("source").applyInArrow(_finished, "doc_id long, n_tokens int, log_likelihood double, per_token double")
 
 
 def language_model_scores(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int = 16, rounds: int = 3) -> DataFrame:

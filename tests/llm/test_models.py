@@ -250,6 +250,32 @@ def test_language_model_beats_word_frequencies(spark):
 
 
 
+def test_every_rare_word_has_its_own_likelihood(spark):
+    rows = [(i, " ".join(GOOD) + f" rare{i} rare{i % 7}x") for i in range(60)] + [(90, None), (91, ""), (None, "the quick rare3x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    p, v, counts = gru.fit(docs, words=8, classes=2, rounds=1)
+    words = Counter(w for _, t in rows for w in (t or "").split())
+    tokens = sum(words.values())
+    assert len(v.sorted) == max(8, sum(n >= 0.5 * tokens**0.5 for n in words.values())) > 8
+    same = [" ".join(GOOD[:3]) + " " + w for w in (*words, "unknown")]
+    got = gru.score_documents(spark.createDataFrame(list(enumerate(same)), "doc_id long, text string").repartition(2), (p, v, counts)).collect()
+    hashes = {w: gru._hashed(pa.array([w]))[0] for w in (*words, "unknown")}
+    rare = [w for w, h in hashes.items() if v.is_rare[v.ids(h)[0]]]
+    total = Counter()
+    for w in rare:
+        total[int(hashes[w][0] % np.uint64(gru.RARE))] += words[w]
+    assert len(rare) > 50
+    for r in got:
+        text = same[r["doc_id"]]
+        h, sizes = gru._hashed(pa.array([text]))
+        want = gru.score(p, v, v.ids(h), sizes)[0]
+        if (w := text.split()[-1]) in rare:
+            want += log(max(1, words[w]) / (total[int(hashes[w][0] % np.uint64(gru.RARE))] + 1))
+        assert r["log_likelihood"] == pytest.approx(want, rel=1e-4) and r["per_token"] == pytest.approx(r["log_likelihood"] / 4)
+    got = {r["doc_id"]: r for r in gru.score_documents(docs, (p, v, counts)).collect()}
+    assert len(got) == 63 and got[90]["log_likelihood"] is None and got[91]["log_likelihood"] == 0 and got[91]["per_token"] is None
+
+
 def test_averages_go_up_in_levels(spark, monkeypatch):
     monkeypatch.setattr(gru, "FAN", 3)
     rows = [(b, k, float(k + 1), np.full(4, k, np.float32).tobytes()) for b in range(2) for k in range(11)]
