@@ -30,11 +30,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, one row of those that share a ``doc_id``; rows with a NULL ``doc_id`` stay."""
-    gone = simhash.near_duplicates(docs).where("NOT keep").select(F.col("doc_id").alias("_lf_gone"))
-    known = docs.where("doc_id IS NOT NULL")
-    left = known.join(gone, known["doc_id"] == F.col("_lf_gone"), "left_anti")
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    """One text of each group of near copies, each distinct ``doc_id`` and text judged on its own, repeated rows once; rows with a NULL ``doc_id`` stay."""
+    gone = simhash.near_copies(docs).select(F.col("doc_id").alias("_lf_gone"), F.col("tid").alias("_lf_gone_tid"))
+    known = docs.where("doc_id IS NOT NULL").withColumn("_lf_tid", F.xxhash64("text"))
+    left = known.join(gone, (known["doc_id"] == F.col("_lf_gone")) & (known["_lf_tid"] == F.col("_lf_gone_tid")), "left_anti")
+    one = F.row_number().over(Window.partitionBy("doc_id", "_lf_tid").orderBy("_lf_tid"))
     return left.withColumn("_lf_row", one).where("_lf_row = 1").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -23,7 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenfold.llm import words as W
@@ -73,15 +73,18 @@ def _fingerprints(texts: pa.Array, pairs: bool) -> tuple[np.ndarray, np.ndarray,
     return one, two, some
 
 
-def sketches(docs: DataFrame, *, pairs: bool = False) -> DataFrame:
-    """``doc_id, fp`` (and ``fp2`` over word pairs); NULL where a text is NULL or has no word."""
+def sketches(docs: DataFrame, *, pairs: bool = False, tid: bool = False) -> DataFrame:
+    """``doc_id, fp`` (and ``fp2`` over word pairs, ``tid``, a hash of the text); ``fp`` is NULL where a text is NULL or has no word."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         fp, fp2, some = _fingerprints(batch.column("text"), pairs)
         cols = [batch.column("doc_id"), pa.array(fp.view(np.int64), mask=~some)]
-        return pa.RecordBatch.from_arrays(cols + [pa.array(fp2.view(np.int64), mask=~some)] * pairs, ["doc_id", "fp", "fp2"][: 2 + pairs])
+        cols += [pa.array(fp2.view(np.int64), mask=~some)] * pairs + ([batch.column("tid")] if tid else [])
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "fp"] + ["fp2"] * pairs + ["tid"] * tid)
 
-    return documents(docs, fold=True).mapInArrow(batches(one), "doc_id long, fp long" + ", fp2 long" * pairs)
+    own = documents(docs)
+    own = own.select("doc_id", F.lower("text").alias("text"), *[F.xxhash64("text").alias("tid")] * tid)
+    return own.mapInArrow(batches(one), "doc_id long, fp long" + ", fp2 long" * pairs + ", tid long" * tid)
 
 
 def block_masks(blocks: int, radius: int, bits: int = BITS) -> np.ndarray:
@@ -260,23 +263,11 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, *, radius: int = 7, radius2: int = 14) -> DataFrame:
-    """``doc_id, group_id, keep``: a row per distinct non-NULL ``doc_id``.
-
-    Two documents are near copies where their word fingerprints differ in at most
-    ``radius`` bits and their word-pair fingerprints in at most ``radius2``; groups
-    are the components of this relation, ``group_id`` is the least ``doc_id`` of the
-    group and the only one with ``keep``.  All texts that are empty or have no word
-    form one group.  NULL texts are alone.  Repeated rows count once; of rows that
-    share a ``doc_id`` but not a text, the one with the least fingerprint counts."""
+def _groups(own: DataFrame, radius: int, radius2: int) -> DataFrame:
+    """``doc_id, group_id`` for distinct ``doc_id`` (of any type with an order) with ``fp, fp2``; ``group_id`` is the least of the group."""
     masks = covering_masks(radius)
-    raw = documents(docs).where("doc_id IS NOT NULL")
-    no_word = F.lit(0).cast("long")
-    known = raw.where("text IS NOT NULL")
-    own = sketches(known, pairs=True).select("doc_id", F.coalesce("fp", no_word).alias("fp"), F.coalesce("fp2", no_word).alias("fp2"))
-    own = checkpoint(own.groupBy("doc_id").agg(F.min(F.struct("fp", "fp2")).alias("s")).select("doc_id", "s.fp", "s.fp2"))
     nodes = own.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep"))
-    sub = -(-parts(docs.sparkSession, 16) // len(masks))  # small, even groups
+    sub = -(-parts(own.sparkSession, 16) // len(masks))  # small, even groups
 
     def found(key: tuple, t: pa.Table) -> pa.Table:
         x, cut = _entries(t.column("blob"), 2, masks[key[0].as_py()])
@@ -289,6 +280,38 @@ def near_duplicates(docs: DataFrame, *, radius: int = 7, radius2: int = 14) -> D
     links = routed.groupBy("table", "sub").applyInArrow(found, "fp long, fp2 long, o long, o2 long").distinct()
     links = links.join(nodes, ["fp", "fp2"]).select(F.col("o").alias("fp"), F.col("o2").alias("fp2"), F.col("rep").alias("u")).join(nodes, ["fp", "fp2"]).select("u", F.col("rep").alias("v"))
     roots = components(links)
-    grouped = own.join(nodes, ["fp", "fp2"]).join(roots, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("root", "rep").alias("group_id"))
+    return own.join(nodes, ["fp", "fp2"]).join(roots, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("root", "rep").alias("group_id"))
+
+
+def near_duplicates(docs: DataFrame, *, radius: int = 7, radius2: int = 14) -> DataFrame:
+    """``doc_id, group_id, keep``: a row per distinct non-NULL ``doc_id``.
+
+    Two documents are near copies where their word fingerprints differ in at most
+    ``radius`` bits and their word-pair fingerprints in at most ``radius2``; groups
+    are the components of this relation, ``group_id`` is the least ``doc_id`` of the
+    group and the only one with ``keep``.  All texts that are empty or have no word
+    form one group.  NULL texts are alone.  Repeated rows count once; of rows that
+    share a ``doc_id`` but not a text, the one with the least fingerprint counts
+    (:func:`near_copies` judges each)."""
+    raw = documents(docs).where("doc_id IS NOT NULL")
+    no_word = F.lit(0).cast("long")
+    known = raw.where("text IS NOT NULL")
+    own = sketches(known, pairs=True).select("doc_id", F.coalesce("fp", no_word).alias("fp"), F.coalesce("fp2", no_word).alias("fp2"))
+    own = checkpoint(own.groupBy("doc_id").agg(F.min(F.struct("fp", "fp2")).alias("s")).select("doc_id", "s.fp", "s.fp2"))
+    grouped = _groups(own, radius, radius2)
     alone = raw.where("text IS NULL").select("doc_id").distinct().join(own.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("group_id"))
     return grouped.union(alone).select("doc_id", "group_id", (F.col("doc_id") == F.col("group_id")).alias("keep"))
+
+
+def near_copies(docs: DataFrame, *, radius: int = 7, radius2: int = 14) -> DataFrame:
+    """``doc_id, tid`` (``xxhash64`` of the text) of the texts to drop, each distinct pair of ``doc_id`` and text judged on its own.
+
+    Groups are those of :func:`near_duplicates`.  The kept member of a group is the
+    least ``(doc_id, tid)``, one whose ``doc_id`` has no other text first.  Rows with
+    a NULL are passed over."""
+    no_word = F.lit(0).cast("long")
+    own = sketches(documents(docs).where("doc_id IS NOT NULL AND text IS NOT NULL"), pairs=True, tid=True)
+    own = own.groupBy("doc_id", "tid").agg(F.min(F.struct(F.coalesce("fp", no_word).alias("fp"), F.coalesce("fp2", no_word).alias("fp2"))).alias("s"))
+    shared = F.count("*").over(Window.partitionBy("doc_id")) > 1
+    own = checkpoint(own.select(F.struct(shared.alias("shared"), "doc_id", "tid").alias("doc_id"), "s.fp", "s.fp2"))
+    return _groups(own, radius, radius2).where("doc_id <> group_id").select("doc_id.doc_id", "doc_id.tid")

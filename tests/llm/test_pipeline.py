@@ -77,6 +77,16 @@ def test_awkward_stages(spark, labels, tmp_path, stage, rows):
         assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None)[:6] == [1, 2, 4, 5, 7, 8] and sum(r["doc_id"] is None for r in got) == 2
 
 
+def test_near_dedup_judges_every_text(spark, tmp_path):
+    rng = random.Random(4)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(3000)}" for _ in range(80)) for _ in range(5))
+    rows = [(1, a), (1, b), (2, a), (3, c), (3, c), (4, d), (4, c), (5, d), (5, e), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.dedup_near(spark, docs, str(tmp_path)).collect()]
+    assert sorted(t for _, t in got if t) == sorted([a, b, c, d, e]) and (6, None) in got
+    assert set(got) == {(1, b), (2, a), (3, c), (4, d), (5, e), (6, None)}
+
+
 def test_run_is_its_stages(spark, tmp_path):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("aeioustrnlm") for _ in range(rng.randrange(2, 8)))
