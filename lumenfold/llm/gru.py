@@ -8,10 +8,12 @@ square root of the number of tokens, and the classes grow with it.  The output
 softmax is factored into classes of about equal summed square-root frequency.
 
 Documents run side by side in *lanes*, one after the other in a lane; the state is
-set to zero where a document begins and carried from window to window inside it.
-Training is truncated backpropagation through one window with Adam.  It goes over
-all documents once, in rounds: in each, every partition starts from the common
-parameters and trains on its share, and the results are averaged by tokens.
+set to zero where a document begins and carried from window to window inside it, in
+training and in scoring, however long the document is.  Training is truncated
+backpropagation through one window; Adam takes a step when ``STEP`` tokens have
+been seen since the last one.  It goes over all documents once, in rounds: in each, every
+partition starts from the common parameters and trains on its share, and the results
+are averaged by tokens.
 """
 
 from __future__ import annotations
@@ -31,9 +33,9 @@ RARE = 64
 #: A word has an id of its own where its count is at least so many square roots of the number of tokens (or it is one of the ``words`` most frequent).
 COMMON = 0.5
 WINDOW = 32
-#: Documents train in pieces of at most so many tokens (each starts from state zero), so that no lane outlasts the others; scoring never cuts.
-PIECE = 2048
 LANES = 512
+#: Tokens of an Adam step, at least: windows in which few lanes are left add their gradients up.
+STEP = 2048
 #: Floats of a parameter block, and partial averages that are averaged at a time.
 BLOCK, FAN = 4096, 256
 #: Largest output weight; a sum of ``hidden`` + 1 of them stays under 80.
@@ -119,34 +121,31 @@ def windows(tokens: np.ndarray, sizes: np.ndarray, begin: int, most: int = LANES
         yield source[place], target[place], first[place], doc[place], real
 
 
-def forward(p: Params, table: np.ndarray, x: np.ndarray, first: np.ndarray, h: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-    """States of all steps of a window; ``table`` is ``e @ wx + b``."""
+def forward(p: Params, table: np.ndarray, x: np.ndarray, first: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """States after all steps of a window, as (steps, units, lanes), and their gates and the state before the window; ``table`` is ``e @ wx + b``."""
     steps, k = x.shape
-    n = h.shape[1]
-    out, saved = np.empty((steps, k, n), np.float32), []
-    xw = table[x]
-    wzr, wn = np.ascontiguousarray(p["wh"][:, : 2 * n]), np.ascontiguousarray(p["wh"][:, 2 * n :])
+    n = h.shape[0]
+    out, gates = np.empty((steps, n, k), h.dtype), np.ascontiguousarray(table[x].transpose(0, 2, 1))
+    wh, begin, begins = np.ascontiguousarray(p["wh"].T), h, first.any(axis=1)
     for t in range(steps):
-        if first[t].any():
-            h = h * ~first[t][:, None]
-        zr = h @ wzr
-        zr += xw[t, :, : 2 * n]
+        if begins[t]:
+            h = h * ~first[t]
+        g, hh = gates[t], wh @ h
+        zr, c = g[: 2 * n], g[2 * n :]
+        zr += hh[: 2 * n]
         np.negative(zr, out=zr)
         np.exp(zr, out=zr)
         zr += 1
         np.reciprocal(zr, out=zr)
-        z, r = zr[:, :n], zr[:, n:]
-        hn = h @ wn
-        c = r * hn
-        c += xw[t, :, 2 * n :]
+        hn = hh[2 * n :]
+        hn *= zr[n:]
+        c += hn
         np.tanh(c, out=c)
-        new = h - c
-        new *= z
+        new = np.subtract(h, c, out=out[t])
+        new *= zr[:n]
         new += c
-        if keep:
-            saved.append((h, zr, hn, c))
-        out[t] = h = new
-    return out, saved
+        h = new
+    return out, gates, begin
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -191,92 +190,169 @@ def output(p: Params, v: Vocabulary, h: np.ndarray, target: np.ndarray, grad: Pa
     return back, dh
 
 
-def backward(p: Params, x: np.ndarray, first: np.ndarray, saved: list, dh_out: np.ndarray, grad: Params) -> None:
-    """Gradients through one window."""
-    steps, k, n = dh_out.shape
-    dxw, dh = np.empty((steps, k, 3 * n), np.float32), np.zeros((k, n), np.float32)
-    wzr, wn = np.ascontiguousarray(p["wh"][:, : 2 * n].T), np.ascontiguousarray(p["wh"][:, 2 * n :].T)
+def backward(p: Params, x: np.ndarray, first: np.ndarray, run: tuple[np.ndarray, np.ndarray, np.ndarray], dh_out: np.ndarray, grad: Params) -> None:
+    """Adds the gradients through one window; ``run`` is what :func:`forward` gave, ``dh_out`` the gradient of its states."""
+    out, gates, begin = run
+    steps, n, k = out.shape
+    z, r, c = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :]
+    before = np.concatenate([begin[None], out[:-1]])
+    begins = first.any(axis=1)
+    for t in np.flatnonzero(begins):
+        before[t] *= ~first[t]
+    to_c = (1 - z) * (1 - c * c)
+    to_z = (before - c) * (z * (1 - z))
+    to_r = np.matmul(np.ascontiguousarray(p["wh"][:, 2 * n :].T), before)
+    to_r *= r * (1 - r)
+    dg, dc, dh = np.empty((steps, 3 * n, k), out.dtype), np.empty((steps, n, k), out.dtype), np.zeros((n, k), out.dtype)
     for t in range(steps - 1, -1, -1):
-        h, zr, hn, c = saved[t]
-        z, r = zr[:, :n], zr[:, n:]
         dh += dh_out[t]
-        da = dh * (1 - z)
-        da *= 1 - c * c
-        dzr = dxw[t, :, : 2 * n]
-        np.multiply(dh, h - c, out=dzr[:, :n])
-        np.multiply(da, hn, out=dzr[:, n:])
-        dzr *= zr * (1 - zr)
-        dxw[t, :, 2 * n :] = da
-        dhn = da * r
-        grad["wh"][:, : 2 * n] += h.T @ dzr
-        grad["wh"][:, 2 * n :] += h.T @ dhn
-        dh *= z
-        dh += dzr @ wzr
-        dh += dhn @ wn
-        if first[t].any():
-            dh *= ~first[t][:, None]
-    flat, ids = dxw.reshape(-1, 3 * n), x.reshape(-1)
+        g, da = dg[t], np.multiply(dh, to_c[t], out=dc[t])
+        np.multiply(dh, to_z[t], out=g[:n])
+        np.multiply(da, to_r[t], out=g[n : 2 * n])
+        np.multiply(da, r[t], out=g[2 * n :])
+        dh *= z[t]
+        dh += p["wh"] @ g
+        if begins[t]:
+            dh *= ~first[t]
+    grad["wh"] += np.matmul(before, dg.transpose(0, 2, 1)).sum(axis=0)
+    dg[:, 2 * n :] = dc
+    flat, ids = dg.transpose(0, 2, 1).reshape(-1, 3 * n), x.reshape(-1)
     order = np.argsort(ids, kind="stable")
-    start = np.flatnonzero(np.concatenate([[True], ids[order][1:] != ids[order][:-1]]))
-    per_id, seen = np.add.reduceat(flat[order], start, axis=0), ids[order][start]
+    ids = ids[order]
+    start = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    per_id, seen = np.add.reduceat(flat[order], start, axis=0), ids[start]
     grad["wx"] += p["e"][seen].T @ per_id
     grad["b"] += per_id.sum(axis=0)
     grad["e"][seen] += per_id @ p["wx"].T
 
 
-def _carry(h: np.ndarray, k: int, hidden: int, last: np.ndarray | None) -> np.ndarray:
-    return np.zeros((k, hidden), np.float32) if last is None else last[:k]
-
-
-def pieces(sizes: np.ndarray) -> np.ndarray:
-    """Sizes of the pieces that documents train in, in order."""
-    n = -(-sizes // PIECE)
-    out = np.full(n.sum(), PIECE, np.int64)
-    some = n > 0
-    out[np.cumsum(n)[some] - 1] = (sizes - (n - 1) * PIECE)[some]
-    return out
-
-
-def train(p: Params, v: Vocabulary, tokens: np.ndarray, sizes: np.ndarray, adam: dict, rate: float = 0.01) -> Params:
-    """Updates ``p`` in place over some documents, once each."""
-    hidden, last = p["wh"].shape[0], None
-    limit = BOUND / (hidden + 1)
-    for x, target, first, _, real in windows(tokens, sizes, v.begin):
-        grad = {k: np.zeros_like(a) for k, a in p.items()}
-        h, saved = forward(p, p["e"] @ p["wx"] + p["b"], x, first, _carry(None, x.shape[1], hidden, last), True)
-        last = h[-1]
-        mask = real.reshape(-1)
-        flat = h.reshape(-1, hidden)
-        some = np.flatnonzero(mask) if not mask.all() else slice(None)
-        _, d = output(p, v, flat[some], target.reshape(-1)[some], grad)
-        dh = np.zeros_like(flat)
-        dh[some] = d
-        backward(p, x, first, saved, dh.reshape(h.shape), grad)
-        n = int(mask.sum())
-        adam["t"] += 1
-        step = rate * min(1.0, n / 1024) * np.sqrt(1 - 0.98 ** adam["t"]) / (1 - 0.9 ** adam["t"])
-        for k, g in grad.items():
-            g /= max(n, 1)
-            m, s = adam.setdefault(("m", k), np.zeros_like(g)), adam.setdefault(("s", k), np.zeros_like(g))
+class Trainer:
+    """Trains ``p`` in place on documents that come batch by batch, once each.
+
+    What a lane has left when a batch runs out stays, with its state, and the documents
+    of the next batch join the shortest lanes; so one very long document only holds its
+    own lane up."""
+
+    def __init__(self, p: Params, v: Vocabulary, *, lanes: int = LANES, step: int = STEP, rate: float = 0.01) -> None:
+        self.p, self.v, self.most, self.least, self.rate = p, v, lanes, step, rate
+        self.hidden = p["wh"].shape[0]
+        self.left: list[list[np.ndarray]] = []  # of each lane, what is left of documents; negative ids begin one
+        self.state = np.zeros((self.hidden, 0), p["wh"].dtype)
+        self.before = np.zeros(0, np.int64)  # last token of each lane
+        self.grad = {k: np.zeros_like(a) for k, a in p.items()}
+        self.adam: Params = {f"{m}{k}": np.zeros_like(a) for k, a in p.items() for m in "ms"}
+        self.waiting: list[tuple] = []  # windows whose states have no outputs yet
+        self.steps = self.seen = self.tokens = 0
+        self.loss = 0.0
+        self.table = p["e"] @ p["wx"] + p["b"]
+
+    def feed(self, tokens: np.ndarray, sizes: np.ndarray) -> None:
+        """Trains on these documents, but for what is left when less than half of the lanes have any."""
+        if not len(tokens):
+            return
+        start = np.cumsum(sizes) - sizes
+        more = min(self.most, len(self.left) + int((sizes > 0).sum())) - len(self.left)
+        self.left += [[] for _ in range(more)]
+        self.state = np.concatenate([self.state, np.zeros((self.hidden, more), self.state.dtype)], axis=1)
+        self.before = np.concatenate([self.before, np.zeros(more, np.int64)])
+        heap = [(sum(map(len, x)), k) for k, x in enumerate(self.left)]
+        heapq.heapify(heap)
+        for d in np.argsort(-sizes, kind="stable"):
+            if sizes[d]:
+                n, k = heap[0]
+                doc = tokens[start[d] : start[d] + sizes[d]].astype(self.v.dtype)
+                doc[0] = ~doc[0]
+                self.left[k].append(doc)
+                heapq.heapreplace(heap, (n + int(sizes[d]), k))
+        self._run(len(self.left) // 2)
+
+    def finish(self) -> Params:
+        """Trains on all that is left."""
+        self._run(0)
+        self._step()
+        return self.p
+
+    def _run(self, least: int) -> None:
+        length = np.array([sum(map(len, x)) for x in self.left], np.int64)
+        order = np.argsort(-length, kind="stable")
+        lane, length, state, before = [self.left[k] for k in order], length[order], self.state[:, order], self.before[order]
+        marked = np.concatenate([y for x in lane for y in x] or [np.zeros(0, self.v.dtype)])
+        first = marked < 0
+        target = np.where(first, ~marked, marked)
+        base = np.cumsum(length) - length
+        source = np.empty_like(target)
+        source[1:] = target[:-1]
+        some = length > 0
+        source[base[some]] = before[some]
+        source[first] = self.v.begin
+        lo = 0
+        while (k := int(np.searchsorted(-length, -lo, side="left"))) > least:
+            steps = lo + np.arange(WINDOW)[:, None]
+            place = np.minimum(base[:k] + steps, len(target) - 1)
+            state[:, :k] = self._window(source[place], target[place], first[place], steps < length[:k], state[:, :k])
+            lo += WINDOW
+        for i in range(len(lane)):
+            if length[i] > lo:
+                before[i] = target[base[i] + lo - 1] if lo else before[i]
+                lane[i] = [marked[base[i] + lo : base[i] + length[i]]]
+            else:
+                lane[i] = []
+        self.left, self.state, self.before = lane, state, before
+
+    def _window(self, x: np.ndarray, target: np.ndarray, first: np.ndarray, real: np.ndarray, state: np.ndarray) -> np.ndarray:
+        run = forward(self.p, self.table, x, first, state.copy())
+        self.waiting.append((x, first, real, target[real], run))
+        self.seen += len(self.waiting[-1][3])
+        if self.seen >= self.least:
+            self._step()
+        return run[0][-1]
+
+    def _step(self) -> None:
+        if not self.seen:
+            return
+        log, d = output(self.p, self.v, np.concatenate([run[0].transpose(0, 2, 1)[real] for _, _, real, _, run in self.waiting]), np.concatenate([w[3] for w in self.waiting]), self.grad)
+        self.loss -= float(log.sum(dtype=np.float64))
+        at = 0
+        for x, first, real, target, run in self.waiting:
+            dh = np.zeros((*x.shape, self.hidden), d.dtype)
+            dh[real] = d[at : at + len(target)]
+            backward(self.p, x, first, run, np.ascontiguousarray(dh.transpose(0, 2, 1)), self.grad)
+            at += len(target)
+        limit, scale = BOUND / (self.hidden + 1), 1.0 / self.seen
+        self.steps += 1
+        step = self.rate * min(1.0, self.seen / 1024) * np.sqrt(1 - 0.98**self.steps) / (1 - 0.9**self.steps)
+        for k, g in self.grad.items():
+            g *= g.dtype.type(scale)
+            m, s = self.adam["m" + k], self.adam["s" + k]
             m += 0.1 * (g - m)
             s += 0.02 * (g * g - s)
-            p[k] -= np.float32(step) * m / (np.sqrt(s) + 1e-6)
+            self.p[k] -= g.dtype.type(step) * m / (np.sqrt(s) + 1e-6)
             if k in OUT:
-                np.clip(p[k], -limit, limit, out=p[k])
-    return p
+                np.clip(self.p[k], -limit, limit, out=self.p[k])
+            g[...] = 0
+        self.tokens += self.seen
+        self.seen, self.waiting = 0, []
+        self.table = self.p["e"] @ self.p["wx"] + self.p["b"]
 
 
 def score(p: Params, v: Vocabulary, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Log-likelihood of each document, the state carried through all of its windows."""
-    total, hidden, last = np.zeros(len(sizes)), p["wh"].shape[0], None
-    table = p["e"] @ p["wx"] + p["b"]
+    total, state, table = np.zeros(len(sizes)), np.zeros((p["wh"].shape[0], LANES), p["wh"].dtype), p["e"] @ p["wx"] + p["b"]
+    waiting: list[tuple[np.ndarray, ...]] = []
+
+    def add() -> None:
+        h, target, doc = (np.concatenate(x) for x in zip(*waiting))
+        total[:] += np.bincount(doc, output(p, v, h, target)[0], len(sizes))
+        waiting.clear()
+
     for x, target, first, doc, real in windows(tokens, sizes, v.begin):
-        h, _ = forward(p, table, x, first, _carry(None, x.shape[1], hidden, last), False)
-        last = h[-1]
-        mask = real.reshape(-1)
-        some = np.flatnonzero(mask)
-        log, _ = output(p, v, h.reshape(-1, hidden)[some], target.reshape(-1)[some])
-        total += np.bincount(doc.reshape(-1)[some], log, len(sizes))
+        out, _, _ = forward(p, table, x, first, state[:, : x.shape[1]])
+        state = out[-1]
+        waiting.append((out.transpose(0, 2, 1)[real], target[real], doc[real]))
+        if sum(len(w[1]) for w in waiting) >= STEP:
+            add()
+    if waiting:
+        add()
     return total
 
 
@@ -354,7 +430,7 @@ def _average(rows: DataFrame, partitions: int) -> DataFrame:
         partitions = -(-partitions // FAN)
 
 
-def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int = 16, rounds: int = 3) -> tuple[Params, Vocabulary, DataFrame]:
+def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int = 16, rounds: int = 3, lanes: int = LANES, step: int = STEP) -> tuple[Params, Vocabulary, DataFrame]:
     """Parameters, vocabulary and counts of all words from all of ``docs`` (``doc_id, text``); round r trains on the documents whose hash is r."""
     spark = docs.sparkSession
     v, counts = vocabulary(docs, words=words, classes=classes)
@@ -368,11 +444,10 @@ def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int =
             from pyspark import TaskContext
 
             own, v = {k: a.copy() for k, a in sent.value[0].items()}, sent.value[1]
-            adam, n = {"t": 0}, 0
+            trainer = Trainer(own, v, lanes=lanes, step=step)
             for batch in it:
-                tokens, sizes = _coded(batch.column("text"), v)
-                train(own, v, tokens, pieces(sizes), adam)
-                n += len(tokens)
+                trainer.feed(*_coded(batch.column("text"), v))
+            own, n = trainer.finish(), trainer.tokens
             if n:
                 flat = np.concatenate([a.reshape(-1) for a in own.values()])
                 blocks = [flat[i : i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
