@@ -74,16 +74,20 @@ n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text, coalesce(n.n, 0)::INT AS n_removed FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
 
-def op2(threshold: float, smoothing: float, buckets: int, prefixes: tuple[int, ...]) -> str:
-    more = " ".join(f"UNION ALL SELECT doc_id, ({W.combine_sql([f'h{k}'], k)} & {buckets - 1}::UBIGINT)::INT AS b FROM pos JOIN vocab USING (w) WHERE h{k} IS NOT NULL" for k in prefixes)
+def op2(threshold: float, smoothing: float, pair_smoothing: float, buckets: int, pair_buckets: int, prefixes: tuple[int, ...]) -> str:
+    more = " ".join(f"UNION ALL SELECT doc_id, ({W.combine_sql([f'h{k}'], k)} & {buckets - 1}::UBIGINT)::INT AS b FROM uni WHERE h{k} IS NOT NULL" for k in prefixes)
     short = ", ".join(f"CASE WHEN octet_length(encode(w)) > {k} THEN {W.hash_sql('w', k)} END AS h{k}" for k in prefixes)
-    return f"""WITH seq AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9\\x{{80}}-\\x{{10FFFF}}]+|[^A-Za-z0-9\\x{{80}}-\\x{{10FFFF}}\\t\\n\\x0B\\f\\r ]+') AS l FROM documents),
-pos AS (SELECT doc_id, unnest(l) AS w FROM seq),
+    names = ", ".join(f"h{k}" for k in prefixes)
+    return f"""WITH seq AS MATERIALIZED (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9\\x{{80}}-\\x{{10FFFF}}]+|[^A-Za-z0-9\\x{{80}}-\\x{{10FFFF}}\\t\\n\\x0B\\f\\r ]+') AS l FROM documents),
+pos AS (SELECT doc_id, i, l[i] AS w FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM seq)),
 vocab AS MATERIALIZED (SELECT w, {W.hash_sql("w")} AS h, {short} FROM (SELECT DISTINCT w FROM pos)),
-gram AS MATERIALIZED (SELECT doc_id, (h & {buckets - 1}::UBIGINT)::INT AS b FROM pos JOIN vocab USING (w) {more}),
+uni AS MATERIALIZED (SELECT doc_id, i, h, {names} FROM pos JOIN vocab USING (w)),
+two AS (SELECT x.doc_id, x.h AS h, y.h AS o FROM uni x JOIN uni y ON x.doc_id = y.doc_id AND y.i = x.i + 1),
+pair AS MATERIALIZED (SELECT h, o, {buckets} + ({W.combine_sql(["h", "o"], 2)} & {pair_buckets - 1}::UBIGINT)::INT AS b FROM (SELECT DISTINCT h, o FROM two)),
+gram AS MATERIALIZED (SELECT doc_id, (h & {buckets - 1}::UBIGINT)::INT AS b FROM uni {more} UNION ALL SELECT doc_id, b FROM two JOIN pair USING (h, o)),
 good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id HAVING bool_and(quality = 1 AND toxic = 0)),
-corpus AS (SELECT b, count(*) AS n FROM gram GROUP BY b),
+corpus AS (SELECT b, count(*) AS n, CASE WHEN b < {buckets} THEN {smoothing}::DOUBLE ELSE {pair_smoothing}::DOUBLE END AS s FROM gram GROUP BY b),
 target AS (SELECT b, count(*) AS n FROM gram SEMI JOIN good USING (doc_id) GROUP BY b),
-ratio AS (SELECT b, ln(coalesce(target.n, 0) + {smoothing}::DOUBLE) - ln(corpus.n * (coalesce((SELECT sum(n) FROM target), 0)::DOUBLE / (SELECT sum(n) FROM corpus)::DOUBLE) + {smoothing}::DOUBLE) AS r FROM corpus LEFT JOIN target USING (b)),
+ratio AS (SELECT b, ln(coalesce(target.n, 0) + s) - ln(corpus.n * (coalesce((SELECT sum(n) FROM target), 0)::DOUBLE / (SELECT sum(n) FROM corpus)::DOUBLE) + s) AS r FROM corpus LEFT JOIN target USING (b)),
 score AS (SELECT doc_id, round(avg(r), 6) + 0.0 AS score FROM gram JOIN ratio USING (b) GROUP BY doc_id)
 SELECT doc_id, score::DOUBLE AS score, coalesce(score >= {threshold}::DOUBLE, false) AS keep FROM documents LEFT JOIN score USING (doc_id)"""

@@ -60,4 +60,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_ratio": oracle.op2(quality.RATIO_THRESHOLD, quality.RATIO_SMOOTHING, quality.RATIO_BUCKETS, quality.PREFIXES), "op3_document_fingerprints": oracle.op3(), "op7_substring_dedup": oracle.op7(), "op9_line_dedup": oracle.op9(), "op10_simhash_near_dedup": oracle.op10()}
+    return {"op2_quality_ratio": oracle.op2(quality.RATIO_THRESHOLD, quality.RATIO_SMOOTHING, quality.PAIR_SMOOTHING, quality.RATIO_BUCKETS, quality.RATIO_PAIRS, quality.PREFIXES), "op3_document_fingerprints": oracle.op3(), "op7_substring_dedup": oracle.op7(), "op9_line_dedup": oracle.op9(), "op10_simhash_near_dedup": oracle.op10()}

@@ -1,6 +1,7 @@
 """Quality filters, packing, license scan and language model."""
 
 import random
+import re
 from collections import Counter
 from math import log
 
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from lumenfold.llm import gru, license_scan, packing, quality
+from lumenfold.llm import words as W
 from lumenfold.llm.license_rules import RULES
 
 GOOD = "the quick brown fox jumps over lazy dogs while seven wizards quietly mix potions beneath old stone bridges".split()
@@ -40,15 +42,16 @@ def test_ratio_against_brute_force(spark):
         got = {r["doc_id"]: (r["score"], r["keep"]) for r in quality.importance_scores(d, lab, broadcast_ids=limit).collect()}
         grams = {}
         for i, t in docs:
-            own = []
-            for w in t.split():
-                own += [w] + [(k, w[:k]) for k in (4, 5) if len(w) > k]
-            grams[i] = own
+            own, w = [], t.split()
+            for x in w:
+                own += [x] + [(k, x[:k]) for k in (4, 5) if len(x) > k]
+            grams[i] = own + list(zip(w, w[1:]))
+        added = lambda g: 300 if isinstance(g, tuple) and isinstance(g[0], str) else 3
         corpus = Counter(g for own in grams.values() for g in own)
         target = Counter(g for i, _, toxic in labels if not toxic for g in grams[i])
         scale = sum(target.values()) / sum(corpus.values())
         for i, own in grams.items():
-            want = sum(log(target[g] + 3) - log(corpus[g] * scale + 3) for g in own) / len(own)
+            want = sum(log(target[g] + added(g)) - log(corpus[g] * scale + added(g)) for g in own) / len(own)
             assert got[i][0] == pytest.approx(want, abs=2e-6) and got[i][1] == (got[i][0] >= quality.RATIO_THRESHOLD)
 
 
@@ -63,6 +66,53 @@ def test_classifier_on_held_out_documents(spark):
     assert kept == {i for i, k in got.items() if k}
 
 
+def test_classifier_against_plain_python(spark):
+    """Sets, ratios, scaling, dual coordinate descent and margins, all done again with dicts and floats."""
+    docs, labels = labelled(60, seed=4)
+    extra = [(100, "the the quick!! fox"), (101, "é idiot"), (102, None), (103, " \n "), (None, "quick fox"), (5, docs[5][1])]
+    d, lab = frames(spark, [*docs, *extra], labels[:40])
+    buckets, mask = 1 << 12, (1 << 12) - 1
+    mix = lambda parts, salt: int(W.combine([np.array([x], np.uint64) for x in parts], salt)[0])
+
+    def grams(text):
+        toks = re.findall(r"[a-zA-Z0-9é]+|[^a-zA-Z0-9é\s]+", text or "")
+        h = [W.hash_one(t.encode()) for t in toks]
+        return sorted({x & mask for x in h} | {mix(x, 2) & mask for x in zip(h, h[1:])} | {mix([W.hash_one(t.encode()[:k])], k) & mask for t in toks for k in (4, 5) if len(t.encode()) > k})
+
+    known = [(grams(t), 1 if not labels[i][2] else -1) for i, t in docs[:40]]
+    count = {y: Counter(b for g, z in known if z == y for b in g) for y in (1, -1)}
+    scale = sum(count[-1].values()) / sum(count[1].values())
+    ratio = {b: log(count[1][b] * scale + 5) - log(count[-1][b] + 5) for b in range(buckets)}
+    x = [{b: ratio[b] / max(sum(ratio[k] ** 2 for k in g) ** 0.5, 1e-12) for b in g} for g, _ in known]
+    w, bias, alpha = Counter(), 0.0, [0.0] * 40
+    cost = {y: 3.0 * 40 / (2 * sum(z == y for _, z in known)) for y in (1, -1)}
+    rng = np.random.default_rng(3)
+    for _ in range(12):
+        for i in rng.permutation(40):
+            y = known[i][1]
+            gradient = y * (sum(w[b] * v for b, v in x[i].items()) + bias) - 1
+            new = min(max(alpha[i] - gradient / (sum(v * v for v in x[i].values()) + 1), 0.0), cost[y])
+            for b, v in x[i].items():
+                w[b] += (new - alpha[i]) * y * v
+            bias += (new - alpha[i]) * y
+            alpha[i] = new
+    got = quality.classify(d, quality.fit_classifier(d, lab, buckets=buckets)).collect()
+    texts = [*docs, *extra]
+    assert len(got) == len(texts)
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append(r)
+    for i, t in texts:
+        g = grams(t)
+        for r in by[i]:
+            if not g:
+                assert r["score"] is None and not r["keep"]
+                continue
+            norm = sum(ratio[b] ** 2 for b in g) ** 0.5
+            want = sum(w[b] * ratio[b] for b in g) / max(norm, 1e-12) + bias
+            assert r["score"] == pytest.approx(want, abs=1e-4) and r["keep"] == (r["score"] >= 0.1)
+
+
 def test_labels_of_one_kind_keep_everything(spark):
     docs, labels = labelled(40)
     d, lab = frames(spark, [*docs, (50, " \n"), (51, ""), (52, None)], labels)
