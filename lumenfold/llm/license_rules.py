@@ -1,7 +1,9 @@
 """The signature rules of the license scan, in order.
 
 A rule has an id, the license it tells of, a priority, a keyword that every match
-contains (ASCII, lower case) and a pattern.  Patterns ignore ASCII case.
+contains (ASCII, lower case) and a pattern.  Patterns ignore ASCII case; they see texts
+with one blank for every run of white space.  An empty license is what the match says
+behind its colon.
 """
 
 from __future__ import annotations
@@ -258,7 +260,10 @@ _GRANT = r"(?:dual[ -])?(?:licen[sc]ed|released|distributed|published|(?:made )?
 
 
 def _rules() -> list[Rule]:
-    found = [Rule(f"spdx:{x}", x, 100, "spdx-license-identifier", r"SPDX-License-Identifier:\s{0,4}\(?" + x.replace(".", r"\.") + r"(?![\w.+-])") for x in _SPDX]
+    one, many = r"[A-Za-z0-9][\w.:-]*\+?", r"(?: ?\)){0,9} (?:AND|OR|WITH) (?:\( ?){0,9}"
+    found = [Rule("spdx-expression", "", 110, "spdx-license-identifier", rf"SPDX-License-Identifier: ?(?:\( ?){{0,9}}{one}(?:{many}{one})+(?: ?\)){{0,9}}")]
+    found += [Rule(f"spdx:{x}", x, 100, "spdx-license-identifier", r"SPDX-License-Identifier:\s{0,4}\(?" + x.replace(".", r"\.") + r"(?![\w.+-])") for x in _SPDX]
+    found += [Rule("spdx-other", "", 90, "spdx-license-identifier", rf"SPDX-License-Identifier: ?(?:\( ?)?{one}(?: ?\))?")]
     found += [Rule(f"grant:{x}", x.removesuffix("-short").removesuffix("-long"), 80, keyword, _GRANT + f"(?:{name})") for x, keyword, name in _NAMES]
     found += [Rule(f"page:{i:02}:{x}", x, 70, p.split(r"\.")[0].split("/")[0], r"(?:https?://)?(?:www\.)?" + p) for i, (x, p) in enumerate(_PAGES)]
     found += [Rule(f"text:{i:02}:{x}", x, 60, keyword, p) for i, (x, keyword, p) in enumerate(_TEXTS)]

@@ -1,8 +1,14 @@
-"""License scan: ordered signature rules behind a keyword automaton."""
+"""License scan: ordered signature rules behind a keyword automaton.
+
+Keywords and patterns see a text in which every line break (with the comment sign that
+the next line may begin with) and every other run of white space is one blank, so that
+a signature may be wrapped and indented; places are those of the text itself.
+"""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -16,6 +22,8 @@ from lumenfold.llm.license_rules import RULES
 
 Detection = tuple[int, int, int]  # start, end, number of the rule
 
+GAP = re.compile(r"\s*\n\s*(?:(?:[*#;>%]+|//+|--+)(?=\s)\s*)?|\s{2,}|[^\S ]")
+
 
 @cache
 def _compiled() -> tuple[list[re.Pattern], ahocorasick.Automaton]:
@@ -30,28 +38,53 @@ def _compiled() -> tuple[list[re.Pattern], ahocorasick.Automaton]:
     return [re.compile(r.pattern, re.I | re.A) for r in RULES], automaton
 
 
-def candidates(text: str) -> list[int]:
-    """Rules whose keyword the text contains, in order."""
+def squeezed(text: str) -> tuple[str, list[int], list[int]]:
+    """The text with one blank for each gap; where pieces begin in it, and how far they were moved."""
+    out, begin, move, at, size = [], [0], [0], 0, 0
+    for m in GAP.finditer(text):
+        out += (text[at : m.start()], " ")
+        size += m.start() - at + 1
+        at = m.end()
+        begin.append(size)
+        move.append(at - size)
+    return "".join((*out, text[at:])), begin, move
+
+
+def candidates(short: str) -> list[int]:
+    """Rules whose keyword the squeezed text contains, in order."""
     _, automaton = _compiled()
-    found: dict[str, list[int]] = dict(value for _, value in automaton.iter(text.lower()))
+    found: dict[str, list[int]] = dict(value for _, value in automaton.iter(short.lower()))
     return sorted(i for rules in found.values() for i in rules)
 
 
 def resolve(found: list[Detection]) -> list[Detection]:
     """Without the detections that lie inside one of higher rank (priority, then length, then rule order)."""
     kept: list[Detection] = []
-    reach: list[tuple[int, int]] = []
+    starts: list[int] = []  # of the kept intervals that lie in no other, with growing ends
+    ends: list[int] = []
     for d in sorted(set(found), key=lambda d: (-RULES[d[2]].priority, d[0] - d[1], d[2], d[0])):
-        if not any(a <= d[0] and d[1] <= b for a, b in reach):
-            kept.append(d)
-            reach.append((d[0], d[1]))
+        before = bisect_right(starts, d[0])
+        if before and ends[before - 1] >= d[1]:
+            continue
+        kept.append(d)
+        lo, hi = bisect_left(starts, d[0]), bisect_right(ends, d[1])
+        starts[lo : max(lo, hi)], ends[lo : max(lo, hi)] = [d[0]], [d[1]]
     return sorted(kept)
 
 
 def scan(text: str, rules: list[int] | None = None) -> list[Detection]:
     """Detections of a text; ``rules`` are those to try, by default those that the keywords let through."""
     patterns, _ = _compiled()
-    return resolve([(m.start(), m.end(), i) for i in (candidates(text) if rules is None else rules) for m in patterns[i].finditer(text)])
+    short, begin, move = squeezed(text)
+    if rules is None:
+        rules = candidates(short)
+    place = lambda k: k + move[bisect_right(begin, k) - 1]
+    return resolve([(place(m.start()), place(m.end() - 1) + 1, i) for i in rules for m in patterns[i].finditer(short)])
+
+
+def license_of(rule: int, matched: str) -> str:
+    """The license that a rule tells of; of an SPDX expression, the expression."""
+    return RULES[rule].license or " ".join(matched.partition(":")[2].split())
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
@@ -60,7 +93,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     ``start`` and ``end`` count characters.  A detection inside the interval of another
     one of higher priority (of the same priority: a longer one, or an earlier rule) is
     suppressed; detections that overlap in part both stay.  NULL and empty texts have
-    no detection, repeated rows have theirs each."""
+    no detection, repeated rows and rows with a NULL ``doc_id`` have theirs each; a text
+    of any length is scanned as a whole, at a cost of its length and of ``n log n`` in its
+    detections."""
     names = ["doc_id", "rule_id", "license", "start", "end", "matched"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,8 +104,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             _, offsets, _ = W.buffers(batch.column("text"))
             for a, b in W.groups(offsets):
                 for i, text in enumerate(batch.column("text").slice(a, b - a).to_pylist(), a):
-                    if text and (rules := candidates(text)):
-                        rows += [(ids[i], RULES[k].rule_id, RULES[k].license, s, e, text[s:e]) for s, e, k in scan(text, rules)]
+                    if text:
+                        rows += [(ids[i], RULES[k].rule_id, license_of(k, text[s:e]), s, e, text[s:e]) for s, e, k in scan(text)]
             cols = list(zip(*rows)) or [()] * 6
             types = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)

@@ -201,7 +201,9 @@ def test_license_scan_is_that_of_all_rules():
     texts = SAMPLES + ["filler " * rng.randrange(5) + " ".join(rng.sample(SAMPLES, 3)) + " tail" for _ in range(40)]
     patterns, _ = license_scan._compiled()
     for t in texts:
-        found = [(m.start(), m.end(), i) for i, p in enumerate(patterns) for m in p.finditer(t)]
+        short, begin, move = license_scan.squeezed(t)
+        real = [k + max(m for b, m in zip(begin, move) if b <= k) for k in range(len(short))]
+        found = [(real[m.start()], real[m.end() - 1] + 1, i) for i, p in enumerate(patterns) for m in p.finditer(short)]
         kept = []
         for d in sorted(found, key=lambda d: (-RULES[d[2]].priority, d[0] - d[1], d[2], d[0])):
             if not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
@@ -212,6 +214,42 @@ def test_license_scan_is_that_of_all_rules():
     assert [RULES[i].rule_id for _, _, i in license_scan.scan(SAMPLES[1])] == ["spdx:GPL-2.0-or-later"]
 
 
+WRAPPED = {
+    "BSD-3-Clause": "/*\n * Neither the name of the copyright holder nor the names of its\n * contributors may be used to endorse or promote products\n * derived from this software\n */",
+    "GPL-2.0-or-later": "# under the terms of the GNU General Public License as published by the Free\n# Software Foundation; either version 2 of the License, or\n# (at your option) any later version.",
+    "GPL-Unspecified": "the GNU   General\n\tPublic  License",
+    "Apache-2.0": "// Licensed under the Apache\n// License, Version 2.0",
+    "MIT": "Permission is hereby granted, free of\ncharge, to any person obtaining a\r\ncopy",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_wrapped_headers_are_found(name):
+    text = WRAPPED[name]
+    found = license_scan.scan(text)
+    assert name in {license_scan.license_of(k, text[s:e]) for s, e, k in found}
+    assert all(0 <= s < e <= len(text) and not text[s].isspace() and not text[e - 1].isspace() for s, e, _ in found)
+
+
+@pytest.mark.parametrize("said,want", [("MIT OR Apache-2.0", "MIT OR Apache-2.0"), ("(MIT AND\n BSD-3-Clause)", "(MIT AND BSD-3-Clause)"), ("GPL-2.0+", "GPL-2.0+"), ("GPL-2.0-only WITH Classpath-exception-2.0", "GPL-2.0-only WITH Classpath-exception-2.0"), ("MIT", "MIT"), ("LicenseRef-own", "LicenseRef-own")])
+def test_spdx_expressions_are_read_whole(said, want):
+    text = f"x\n// SPDX-License-Identifier: {said}\nint main()"
+    ((s, e, k),) = license_scan.scan(text)
+    assert license_scan.license_of(k, text[s:e]) == want and text[s:e].endswith(said)
+
+
+def test_many_detections_resolve_quickly():
+    rng = random.Random(8)
+    found = [(s := rng.randrange(400), s + rng.randrange(1, 60), rng.randrange(len(RULES))) for _ in range(700)]
+    kept = []
+    for d in sorted(set(found), key=lambda d: (-RULES[d[2]].priority, d[0] - d[1], d[2], d[0])):
+        if not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
+            kept.append(d)
+    assert license_scan.resolve(found) == sorted(kept)
+    text = "mit license, " * 100_000
+    assert len(license_scan.scan(text)) == 100_000
+
+
 def small_model(seed=0):
     rng = np.random.default_rng(seed)
     hashes = rng.integers(0, 1 << 63, 30, dtype=np.uint64)
