@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -38,6 +39,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def parts(spark: SparkSession, times: int = 1) -> int:
     """Number of groups for a shuffle; it follows the session's shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * times
@@ -49,6 +57,51 @@ def documents(docs: DataFrame, *, fold: bool = False, id_col: str = "doc_id", te
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.lower(text) if fold else text).alias("text"))
 
 
+def positional(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with columns ``c0, c1, ...`` (so that no name of theirs can clash), and which of these are ``doc_id`` and ``text``."""
+    names = [c.lower() for c in docs.columns]
+    return docs.toDF(*[f"c{k}" for k in range(len(names))]), f"c{names.index('doc_id')}", f"c{names.index('text')}"
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """:func:`positional` with ``id``, and ``tid``, the ``hash`` of the text or NULL; and the name of ``text``."""
+    plain, id_, text = positional(docs)
+    value = F.col(text).cast("string")
+    return plain.select("*", F.col(id_).cast("long").alias("id"), F.when(value.isNotNull(), F.hash(value)).alias("tid")), text
+
+
+def sized(plain: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """:func:`positional` columns under the names of ``docs`` again, ``n_chars`` set anew where there is one."""
+    sizes = {f"c{k}": F.length(text).cast(f.dataType) for k, f in enumerate(docs.schema) if f.name.lower() == "n_chars"}
+    return plain.withColumns(sizes).toDF(*docs.columns)
+
+
+#: Slots of the filter that is broadcast, at most (8 bytes each).
+SLOTS = 1 << 20
+
+
+def parted(left: DataFrame, keys: list[str], right: DataFrame, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``left`` that ``right`` may have a match for, and those for which it has none (a NULL key has none).
+
+    Keys meet in ``slots`` slots by their hash; the slots that ``right`` (which should be
+    checkpointed) fills are broadcast.  Where it fills more than half of them, all rows
+    without a NULL key are in the first part; so this saves shuffling and never decides on a row."""
+    slot = F.xxhash64(*keys).bitwiseAND(F.lit(slots - 1))
+    filled = checkpoint(right.select(slot.alias("slot")).distinct())
+    ready = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    if filled.count() > slots // 2:
+        return left.where(ready), left.where(~ready)
+    told = left.select("*", F.when(ready, slot).alias("slot"))
+    return told.join(F.broadcast(filled), "slot", "left_semi").drop("slot"), told.join(F.broadcast(filled), "slot", "left_anti").drop("slot")
+
+
+def attached(left: DataFrame, keys: list[str], right: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Left join with ``right`` (distinct keys), in which rows without a match mostly stay where they are, see :func:`parted`."""
+    some, rest = parted(left, keys, right, slots)
+    joined = some.join(right, keys, "left").select(*left.columns, *[c for c in right.columns if c not in keys])
+    return joined.unionByName(rest.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in keys]))
+
+
 def batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """mapInArrow function from one that maps a batch."""
 

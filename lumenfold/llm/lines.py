@@ -6,9 +6,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lumenfold.llm import words as W
-from lumenfold.llm.common import batches
+from lumenfold.llm.common import attached, batches, checkpoint, keyed, sized
 
 NEWLINE = np.zeros(256, dtype=bool)
 NEWLINE[10] = True
@@ -36,26 +37,34 @@ def repeated_lines(docs: DataFrame, *, window: int = 3) -> DataFrame:
     """``doc_id, tid, lines``: for each document with later occurrences, its non-empty lines (from 0) that they cover."""
     text = F.col("text").cast("string")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("tid"), text.alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = own.mapInArrow(batches(_windows(window)), "h long, doc_id long, tid int, pos int")
+    found = checkpoint(own.mapInArrow(batches(_windows(window)), "h long, doc_id long, tid int, pos int"))
     first = found.groupBy("h").agg(F.min(F.struct("doc_id", "tid", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first")
     later = found.join(first, "h").where(F.struct("doc_id", "tid", "pos") > F.col("first"))
     lines = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + (window - 1))))))
     return later.groupBy("doc_id", "tid").agg(lines.alias("lines"))
 
 
-def _rewrite(batch: pa.RecordBatch) -> pa.RecordBatch:
-    texts = batch.column("text").to_pylist()
-    removed = np.zeros(len(texts), np.int32)
-    for i, lines in enumerate(batch.column("_lf_lines").to_pylist()):
-        if lines:
-            gone, k, out = set(lines), 0, []
-            for line in texts[i].split("\n"):
-                if not line or k not in gone:
-                    out.append(line)
-                k += bool(line)
-            texts[i], removed[i] = "\n".join(out), len(gone)
-    done = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string())).drop_columns(["_lf_lines"])
-    return done.append_column("_lf_count", pa.array(removed))
+def _rewrite(column: str):
+    """Function of a batch: ``column`` without the ``lines`` to remove, and their number in the place of these."""
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = batch.schema.get_field_index(column)
+        texts, gone = batch.column(at), batch.column("lines")
+        removed = np.zeros(batch.num_rows, np.int32)
+        if gone.null_count < batch.num_rows:
+            texts = texts.to_pylist()
+            for i, lines in enumerate(gone.to_pylist()):
+                if lines:
+                    drop, k, out = set(lines), 0, []
+                    for line in texts[i].split("\n"):
+                        if not line or k not in drop:
+                            out.append(line)
+                        k += bool(line)
+                    texts[i], removed[i] = "\n".join(out), len(drop)
+            texts = pa.array(texts, pa.string())
+        return batch.set_column(at, column, texts).drop_columns(["lines"]).append_column("removed", pa.array(removed))
+
+    return one
 
 
 def dedup_lines(docs: DataFrame, *, window: int = 3, count: str = "n_removed") -> DataFrame:
@@ -66,9 +75,23 @@ def dedup_lines(docs: DataFrame, *, window: int = 3, count: str = "n_removed") -
     lines that later ones cover go, with their line ends.  Empty lines are neither
     counted nor removed.  Texts with fewer than ``window`` lines, NULL texts and rows
     with a NULL ``doc_id`` stay as they are; rows that share ``doc_id`` and text count
-    as one document, and a column of ``docs`` named like ``count`` is replaced."""
+    as one document, and a column of ``docs`` named like ``count`` is replaced.  Other
+    columns may have any name.  Of very long texts all lines count."""
     docs = docs.drop(count)
-    gone = repeated_lines(docs, window=window).select(F.col("doc_id").alias("_lf_id"), F.col("tid").alias("_lf_tid"), F.col("lines").alias("_lf_lines"))
-    left = docs.join(gone, (docs["doc_id"] == F.col("_lf_id")) & (F.hash(docs["text"]) == F.col("_lf_tid")), "left").drop("_lf_id", "_lf_tid")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return left.mapInArrow(batches(_rewrite), schema + ", _lf_count int").withColumnRenamed("_lf_count", count)
+    return _deduped(docs, window)[0].toDF(*docs.columns, count)
+
+
+def _deduped(docs: DataFrame, window: int) -> tuple[DataFrame, str]:
+    """:func:`common.positional` columns after the dedup and ``removed``, and the name of the text."""
+    gone = checkpoint(repeated_lines(docs, window=window)).toDF("id", "tid", "lines")
+    own, text = keyed(docs)
+    left = attached(own, ["id", "tid"], gone).drop("id", "tid")
+    schema = StructType([*own.drop("id", "tid").schema.fields, StructField("removed", IntegerType())])
+    return left.mapInArrow(batches(_rewrite(text)), schema), text
+
+
+def without_repeated_lines(docs: DataFrame, *, window: int = 3) -> DataFrame:
+    """Like :func:`dedup_lines`, with the columns of ``docs`` only, ``n_chars`` set again, and without rows of which only white space is left."""
+    left, text = _deduped(docs, window)
+    emptied = (F.col("removed") > 0) & ~F.col(text).rlike(r"\S")
+    return sized(left.where(~F.coalesce(emptied, F.lit(False))).drop("removed"), docs, text)

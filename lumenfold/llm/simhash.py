@@ -304,14 +304,16 @@ def near_duplicates(docs: DataFrame, *, radius: int = 7, radius2: int = 14) -> D
 
 
 def near_copies(docs: DataFrame, *, radius: int = 7, radius2: int = 14) -> DataFrame:
-    """``doc_id, tid`` (``xxhash64`` of the text) of the texts to drop, each distinct pair of ``doc_id`` and text judged on its own.
+    """``doc_id, tid, keep`` of each distinct ``doc_id`` and text (``tid`` is its ``xxhash64``) that isn't a single row and the one to keep of its group.
 
-    Groups are those of :func:`near_duplicates`.  The kept member of a group is the
-    least ``(doc_id, tid)``, one whose ``doc_id`` has no other text first.  Rows with
-    a NULL are passed over."""
+    Groups are those of :func:`near_duplicates`, each distinct pair judged on its own.
+    The kept member of a group is the least ``(doc_id, tid)``, one whose ``doc_id`` has no
+    other text first; it is only listed where several rows have it.  Rows with a NULL are
+    passed over."""
     no_word = F.lit(0).cast("long")
     own = sketches(documents(docs).where("doc_id IS NOT NULL AND text IS NOT NULL"), pairs=True, tid=True)
-    own = own.groupBy("doc_id", "tid").agg(F.min(F.struct(F.coalesce("fp", no_word).alias("fp"), F.coalesce("fp2", no_word).alias("fp2"))).alias("s"))
+    own = own.groupBy("doc_id", "tid").agg(F.min(F.struct(F.coalesce("fp", no_word).alias("fp"), F.coalesce("fp2", no_word).alias("fp2"))).alias("s"), F.count("*").alias("n"))
     shared = F.count("*").over(Window.partitionBy("doc_id")) > 1
-    own = checkpoint(own.select(F.struct(shared.alias("shared"), "doc_id", "tid").alias("doc_id"), "s.fp", "s.fp2"))
-    return _groups(own, radius, radius2).where("doc_id <> group_id").select("doc_id.doc_id", "doc_id.tid")
+    own = checkpoint(own.select(F.struct(shared.alias("shared"), "doc_id", "tid", (F.col("n") > 1).alias("many")).alias("doc_id"), "s.fp", "s.fp2"))
+    keep = F.col("doc_id") == F.col("group_id")
+    return _groups(own, radius, radius2).where(~keep | F.col("doc_id.many")).select("doc_id.doc_id", "doc_id.tid", keep.alias("keep"))

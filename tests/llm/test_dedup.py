@@ -6,8 +6,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from lumenfold.llm import lines, simhash, substring
+import corpus_pipeline
+from lumenfold.llm import common, lines, simhash, substring
 
 
 def corpus(seed=0, n=60):
@@ -119,12 +121,26 @@ def brute_intervals(rows, size):
 
 
 @pytest.mark.parametrize("size", [8, 50])
-def test_repeated_substrings(spark, size):
+@pytest.mark.parametrize("hot,broadcast", [(substring.HOT, substring.BROADCAST), (3, substring.BROADCAST), (3, 0), (0, 10)])
+def test_repeated_substrings(spark, size, hot, broadcast):
+    """Whether anchors count as hot (more than 3 runs; all) or not, and whether their windows are broadcast or shuffled."""
     rows = corpus(5)
-    got = substring.repeated_substrings(frame(spark, rows), window=size).collect()
+    got = substring.repeated_substrings(frame(spark, rows + rows[7:9]), window=size, hot=hot, broadcast=broadcast).collect()
     assert {(r["doc_id"], r["start_word"], r["end_word"], r["removed"]) for r in got} == brute_intervals(rows, size) and len(got) == len(brute_intervals(rows, size)) > 0
 
 
+def test_an_anchor_in_many_documents_is_no_group(spark):
+    """A passage that nearly all documents share; its runs don't meet in one place."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    docs = spark.range(20_000).selectExpr("id AS doc_id", f"concat('a', id, ' {passage} z', id % 7) AS text").repartition(8)
+    found = substring.repeated_substrings(docs, hot=1000)
+    assert found.where("removed").count() == 19_999
+    (first,) = found.where("NOT removed AND doc_id = 0").collect()
+    assert (first["start_word"], first["end_word"]) == (1, 62) or (first["start_word"], first["end_word"]) == (1, 61)
+    left = substring.remove_substrings(docs, hot=1000).where("doc_id > 6").selectExpr("max(length(text)) AS n").first()["n"]
+    assert left <= len("a19999 z0")
+
+
 def test_removed_substrings_leave_each_passage_once(spark):
     rows = corpus(6)
     left = substring.remove_substrings(frame(spark, rows).selectExpr("doc_id", "text", "0L AS n_chars"), window=20).collect()
@@ -149,3 +165,41 @@ def test_line_dedup(spark):
             seen.add(key)
         want[i] = ("\n".join(line for k, line in enumerate(split) if k not in gone), len(gone))
     assert got == want and any(n for _, n in want.values())
+
+
+def awkward_names(spark, rows):
+    """Columns named like those that operators use inside, twice or in other case."""
+    names = ["id", "tid", "lines", "spans", "slot", "keep", "c0", "c1", "C1", "removed", "row", "n_removed", "count", "_lf_id", "_lf_tid", "_lf_removed", "h", "pos", "first", "bucket", "part", "n_chars"]
+    docs = frame(spark, rows)
+    return docs.select(*[F.lit(k).cast("long").alias(c) for k, c in enumerate(names)], "doc_id", "text"), names
+
+
+@pytest.mark.parametrize("slots", [1 << 20, 2])
+def test_columns_may_have_any_name(spark, tmp_path, monkeypatch, slots):
+    """And the filter of slots decides nothing, whether it is full or not."""
+    monkeypatch.setattr(common.parted, "__defaults__", (slots,))
+    monkeypatch.setattr(common.attached, "__defaults__", (slots,))
+    rows = corpus(8) + [(None, "no id"), (None, "no id"), (900, None), (901, "")]
+    rows += rows[:5]
+    docs, names = awkward_names(spark, rows)
+    plain = frame(spark, rows)
+    extra = [c for c in names if c not in ("n_removed", "n_chars")]
+
+    def same(got, want):
+        key = lambda r: (str(r[0]), str(r[1]))
+        left = got.select("doc_id", "text", *[F.col(f"`{c}`") for c in extra if c.lower() != "c1"]).collect()
+        assert all(tuple(r)[2:] == tuple(names.index(c) for c in extra if c.lower() != "c1") for r in left)
+        assert sorted(map(key, left)) == sorted(map(key, want.select("doc_id", "text").collect()))
+
+    got = lines.dedup_lines(docs)
+    assert got.columns == [c for c in docs.columns if c != "n_removed"] + ["n_removed"]
+    same(got, lines.dedup_lines(plain))
+    same(substring.remove_substrings(docs, window=20), substring.remove_substrings(plain, window=20))
+    for stage in (corpus_pipeline.dedup_lines, corpus_pipeline.dedup_near):
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns
+        same(got, stage(spark, plain, ""))
+    near = [(r["doc_id"], r["text"]) for r in corpus_pipeline.dedup_near(spark, plain, "").collect()]
+    told = simhash.near_duplicates(plain.where("text IS NOT NULL")).collect()
+    texts = dict(rows)
+    assert sorted(near, key=str) == sorted([(r["doc_id"], texts[r["doc_id"]]) for r in told if r["keep"]] + [(None, "no id"), (None, "no id"), (900, None)], key=str)
