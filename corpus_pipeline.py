@@ -8,43 +8,60 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfold.llm import lines, packing, quality, simhash, substring
-from lumenfold.llm.common import folder, table
+from lumenfold.llm.common import checkpoint, folder, parted, positional, remove, table
 
 ORACLE_SQL: str | None = None
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it is fitted to the labels of ``sf_dir``."""
+    """Documents that the quality classifier accepts; it is fitted to the labels of ``sf_dir``.
+
+    Each row is judged on its own: repeated rows and rows with a NULL ``doc_id`` are like
+    any other.  NULL texts and texts without tokens go; without labels of both kinds all
+    others stay."""
     return quality.keep_good(docs, quality.fit_classifier(docs, table(spark, sf_dir, "labels")))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines of repeated three-line windows; a document of which only white space is left goes."""
-    left = lines.dedup_lines(docs, count="_lf_removed")
-    emptied = (F.col("_lf_removed") > 0) & ~F.col("text").rlike(r"\S")
-    return left.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """Texts without lines of repeated three-line windows; a document of which only white space is left goes.
+
+    Rows with a NULL stay as they are; of equal windows the first by ``doc_id`` and place
+    stays."""
+    return lines.without_repeated_lines(docs)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One text of each group of near copies, each distinct ``doc_id`` and text judged on its own, repeated rows once; rows with a NULL ``doc_id`` stay."""
-    gone = simhash.near_copies(docs).select(F.col("doc_id").alias("_lf_gone"), F.col("tid").alias("_lf_gone_tid"))
-    known = docs.where("doc_id IS NOT NULL").withColumn("_lf_tid", F.xxhash64("text"))
-    left = known.join(gone, (known["doc_id"] == F.col("_lf_gone")) & (known["_lf_tid"] == F.col("_lf_gone_tid")), "left_anti")
-    one = F.row_number().over(Window.partitionBy("doc_id", "_lf_tid").orderBy("_lf_tid"))
-    return left.withColumn("_lf_row", one).where("_lf_row = 1").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """One text of each group of near copies, each distinct ``doc_id`` and text judged on its own, repeated rows once.
+
+    Rows with a NULL ``doc_id`` or text stay.  Only rows that a group drops, or that are
+    repeated, are shuffled (and those that a filter of bounded size can't tell from them);
+    of repeated rows that differ in other columns, any one stays."""
+    own, id_, text = positional(docs)
+    value = F.col(text).cast("string")
+    own = own.select("*", F.col(id_).cast("long").alias("id"), F.when(value.isNotNull(), F.xxhash64(value)).alias("tid"))
+    told = checkpoint(simhash.near_copies(docs)).toDF("id", "tid", "keep")
+    some, rest = parted(own, ["id", "tid"], told)
+    some = some.join(told, ["id", "tid"], "left").select(*own.columns, "keep")
+    once = some.where("keep").dropDuplicates(["id", "tid"])  # combined before the shuffle
+    return some.where("keep IS NULL").union(once).drop("keep").union(rest).drop("id", "tid").toDF(*docs.columns)
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later occurrences of passages of 50 or more tokens."""
-    return substring.remove_substrings(docs).select(docs.columns)
+    """Texts without later occurrences of passages of 50 or more tokens.
+
+    Rows with a NULL stay as they are, empty texts too; of equal passages the first by
+    ``doc_id`` and place stays."""
+    return substring.remove_substrings(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens, see :func:`lumenfold.llm.packing.pack_documents`."""
+    """Sequences of at most 2048 tokens, see :func:`lumenfold.llm.packing.pack_documents`.
+
+    Texts without tokens and NULL texts take no room; repeated rows are packed each."""
     return packing.pack_documents(docs)
 
 
@@ -52,12 +69,17 @@ STAGES = [("quality classifier", classify), ("line dedup", dedup_lines), ("near
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between them is written to the shared folder."""
+    """All stages over ``documents``; what lies between them is written to the shared folder.
+
+    Each of these tables is removed when the next one is there; the last one, which the
+    result reads, stays in ``pipeline-<uuid>`` and can go when the result is written."""
     docs = table(spark, sf_dir, "documents")
     root = f"{folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         if k:
             docs.write.parquet(f"{root}/{k}")
             docs = spark.read.parquet(f"{root}/{k}")
+            if k > 1:
+                remove(spark, f"{root}/{k - 1}")
         docs = stage(spark, docs, sf_dir)
     return docs
