@@ -40,11 +40,14 @@ def _signed(x: str) -> str:
 
 
 def op3(radius: int = 3) -> str:
-    return f"""WITH {_sketch(False)},
-fps AS (SELECT fp, count(*) AS n FROM own WHERE fp IS NOT NULL GROUP BY fp),
-near AS (SELECT a.fp, list_sort(list({_signed("b.fp")})) AS near FROM fps a JOIN fps b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= {radius} GROUP BY a.fp)
-SELECT doc_id, {_signed("own.fp")} AS fingerprint, coalesce(n, 0)::BIGINT AS n_same, coalesce(near, []::BIGINT[]) AS near
-FROM own LEFT JOIN fps USING (fp) LEFT JOIN near USING (fp)"""
+    return f"""WITH RECURSIVE {_sketch(False)},
+fps AS MATERIALIZED (SELECT fp, count(*) AS n FROM own WHERE fp IS NOT NULL GROUP BY fp),
+link AS MATERIALIZED (SELECT a.fp AS u, b.fp AS v FROM fps a JOIN fps b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= {radius}),
+near AS (SELECT u AS fp, count(*) AS n_near FROM link GROUP BY u),
+reach AS (SELECT fp AS u, fp AS v FROM fps UNION SELECT r.u, l.v FROM reach r JOIN link l ON l.u = r.v),
+class AS (SELECT u AS fp, min({_signed("v")}) AS class_id FROM reach GROUP BY u)
+SELECT doc_id, {_signed("own.fp")} AS fingerprint, coalesce(n, 0)::BIGINT AS n_same, coalesce(n_near, 0)::BIGINT AS n_near, class_id
+FROM own LEFT JOIN fps USING (fp) LEFT JOIN near USING (fp) LEFT JOIN class USING (fp)"""
 
 
 def op10(radius: int = 7, radius2: int = 14) -> str:

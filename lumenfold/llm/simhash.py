@@ -162,8 +162,38 @@ def lagged(cut: np.ndarray, most: int | None = None) -> Iterator[tuple[np.ndarra
         lag += 1
 
 
-def all_pairs(fps: DataFrame, masks: np.ndarray, radius: int) -> DataFrame:
-    """All pairs ``a < b`` of distinct fingerprints (column ``fp``) within the radius, once each."""
+def patterns(mask: np.uint64, radius: int) -> np.ndarray:
+    """All differences of 1 to ``radius`` bits outside ``mask``."""
+    free = [1 << b for b in range(BITS) if not int(mask) >> b & 1]
+    return np.array([sum(c) for k in range(1, radius + 1) for c in combinations(free, k)], dtype=np.uint64)
+
+
+def pairs_in(x: np.ndarray, cut: np.ndarray, mask: np.uint64, radius: int, long: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of distinct values within the radius inside the runs that ``cut`` bounds, in pieces.
+
+    In runs of at most ``long`` values all pairs are compared.  In a longer one each value
+    looks up all that differ from it in so many bits outside the mask, so that the cost of
+    a run grows as its size, times a constant, and not as its square."""
+    for at, lag in lagged(cut, long):
+        near = at[np.bitwise_count(x[at] ^ x[at + lag]) <= radius]
+        yield x[near], x[near + lag]
+    size = np.diff(cut)
+    for k in np.flatnonzero(size > long):
+        run = np.sort(x[cut[k] : cut[k + 1]])
+        for p in patterns(mask, radius):
+            other = run ^ p
+            up = np.flatnonzero(other > run)
+            other = other[up]
+            hit = run[np.minimum(np.searchsorted(run, other), len(run) - 1)] == other
+            yield run[up[hit]], other[hit]
+
+
+def links(fps: DataFrame, masks: np.ndarray, radius: int, long: int = 4096) -> DataFrame:
+    """Rows ``fp, o, n`` about pairs of distinct fingerprints (column ``fp``) within the radius, each counted once.
+
+    ``n`` sums up to the number of pairs that ``fp`` is in (``o`` is NULL there); rows with ``o``
+    (and ``n`` 0) are edges that connect what the pairs connect.  No more than two rows per
+    fingerprint and table, however many pairs there are."""
     spark = fps.sparkSession
     sub = -(-parts(spark, 4) // len(masks))
 
@@ -171,37 +201,47 @@ def all_pairs(fps: DataFrame, masks: np.ndarray, radius: int) -> DataFrame:
         k = key[0].as_py()
         x, cut = _entries(t.column("blob"), 1, masks[k])
         x = x[:, 0]
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for at, lag in lagged(cut):
-            d = x[at] ^ x[at + lag]
-            near = np.flatnonzero(np.bitwise_count(d) <= radius)
-            if len(near):
-                d, at = d[near], at[near]
-                new = np.ones(len(d), bool)  # the first of the tables in which they meet reports them
-                for m in masks[:k]:
-                    new &= (d & m) != 0
-                p, q = x[at[new]].view(np.int64), x[at[new] + lag].view(np.int64)
-                a.append(np.minimum(p, q)), b.append(np.maximum(p, q))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+        value = np.sort(x)
+        count, a, b, held = np.zeros(len(x), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        for p, q in pairs_in(x, cut, masks[k], radius, long):
+            d = p ^ q
+            new = np.ones(len(d), bool)  # the first of the tables in which they meet counts them
+            for m in masks[:k]:
+                new &= (d & m) != 0
+            i, j = np.searchsorted(value, p[new]), np.searchsorted(value, q[new])
+            np.add.at(count, i, 1)
+            np.add.at(count, j, 1)
+            a.append(i), b.append(j)
+            held += len(i)
+            if held > 1 << 20:
+                i, j = _forest(np.concatenate(a), np.concatenate(b))
+                a, b, held = [i], [j], 0
+        i, j = _forest(np.concatenate(a), np.concatenate(b))
+        some, signed = np.flatnonzero(count), value.view(np.int64)
+        fp = np.concatenate([signed[some], signed[i]])
+        o = pa.array(np.concatenate([signed[some], signed[j]]), mask=np.arange(len(fp)) < len(some))
+        return pa.table({"fp": fp, "o": o, "n": np.concatenate([count[some], np.zeros(len(i), np.int64)])})
 
     routed = fps.select("fp").mapInArrow(_routed(masks, sub, 1), "table int, sub int, blob binary")
-    return routed.groupBy("table", "sub").applyInArrow(found, "a long, b long")
+    return routed.groupBy("table", "sub").applyInArrow(found, "fp long, o long, n long")
 
 
 def document_fingerprints(docs: DataFrame, *, radius: int = 3, blocks: int = 6) -> DataFrame:
-    """``doc_id, fingerprint, n_same, near``: a row per row of ``docs``.
+    """``doc_id, fingerprint, n_same, n_near, class_id``: a row per row of ``docs``.
 
-    ``n_same`` counts the documents with this fingerprint, ``near`` has all other
-    fingerprints within ``radius`` in ascending order.  A NULL text or one without
-    words has a NULL fingerprint, ``n_same`` 0 and an empty ``near``; rows with a
-    NULL ``doc_id`` and repeated rows are treated like any other row."""
+    ``n_same`` counts the documents with this fingerprint, ``n_near`` the other
+    fingerprints within ``radius``; ``class_id`` is the least fingerprint that it is
+    connected to by such steps.  A NULL text or one without words has a NULL fingerprint
+    and class, and 0 twice; rows with a NULL ``doc_id`` and repeated rows are treated like
+    any other row.  Of very long texts all words vote."""
     own = checkpoint(sketches(docs))
     fps = own.where("fp IS NOT NULL").groupBy("fp").agg(F.count("*").alias("n_same"))
-    pairs = all_pairs(fps, block_masks(blocks, radius), radius)
-    both = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("fp"), F.col("b").alias("o")), F.struct(F.col("b").alias("fp"), F.col("a").alias("o")))).alias("p")).select("p.*")
-    near = both.groupBy("fp").agg(F.array_sort(F.collect_list("o")).alias("near"))
-    told = fps.join(near, "fp", "left")
-    return own.join(told, "fp", "left").select("doc_id", F.col("fp").alias("fingerprint"), F.coalesce("n_same", F.lit(0).cast("long")).alias("n_same"), F.coalesce("near", F.array().cast("array<long>")).alias("near"))
+    found = checkpoint(links(fps, block_masks(blocks, radius), radius))
+    near = found.where("o IS NULL").groupBy("fp").agg(F.sum("n").alias("n_near"))
+    roots = components(found.where("o IS NOT NULL").select(F.col("fp").alias("u"), F.col("o").alias("v")))
+    told = fps.join(near, "fp", "left").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    none = F.lit(0).cast("long")
+    return own.join(told, "fp", "left").select("doc_id", F.col("fp").alias("fingerprint"), F.coalesce("n_same", none).alias("n_same"), F.coalesce("n_near", none).alias("n_near"), F.coalesce("root", "fp").alias("class_id"))
 
 
 def _linked(x: np.ndarray, cut: np.ndarray, radius: int, radius2: int) -> tuple[np.ndarray, np.ndarray]:

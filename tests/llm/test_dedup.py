@@ -1,6 +1,7 @@
 """Near dedup, fingerprints, substrings and lines against brute force."""
 
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -49,14 +50,39 @@ def test_every_pair_within_the_radius_meets(masks, radius):
             assert ((masks & d) == 0).any()
 
 
-def test_all_pairs_are_found_once(spark):
+@pytest.mark.parametrize("long", [4096, 4])
+def test_all_links_are_counted_once(spark, long):
+    """All pairs of short runs; look-ups of differences in long ones."""
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
-    x = np.concatenate([base, *[base ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, k, replace=False))) for k in (1, 2, 3, 4)]])
-    x = np.unique(x).view(np.int64)
-    got = simhash.all_pairs(spark.createDataFrame([(int(v),) for v in x], "fp long"), simhash.block_masks(6, 3), 3).collect()
-    want = {(min(a, b), max(a, b)) for a, b in combinations(x.tolist(), 2) if bin((a ^ b) & (2**64 - 1)).count("1") <= 3}
-    assert len(got) == len(want) and {(r["a"], r["b"]) for r in got} == want
+    x = np.concatenate([base, *[base ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, k, replace=False))) for k in (1, 1, 2, 2, 3, 4)]])
+    x = np.unique(x).view(np.int64).tolist()
+    got = simhash.links(spark.createDataFrame([(v,) for v in x], "fp long"), simhash.block_masks(6, 3), 3, long).collect()
+    pairs = [(a, b) for a, b in combinations(x, 2) if bin((a ^ b) & (2**64 - 1)).count("1") <= 3]
+    count = Counter()
+    for r in got:
+        count[r["fp"]] += r["n"]
+    assert +count == Counter(v for p in pairs for v in p)
+    group = lambda edges: {min(c): c for c in _components(edges)}
+    assert group([(r["fp"], r["o"]) for r in got if r["o"] is not None]) == group(pairs)
+
+
+def _components(edges):
+    found = []
+    for e in edges:
+        met = [c for c in found if c & set(e)]
+        found = [c for c in found if not c & set(e)] + [set(e).union(*met)]
+    return found
+
+
+def test_a_long_run_costs_no_square():
+    """100,000 fingerprints that agree on a mask."""
+    rng = np.random.default_rng(4)
+    mask = simhash.block_masks(6, 3)[0]
+    x = np.unique(rng.integers(0, 1 << 63, 100_000, dtype=np.uint64) & ~mask)
+    n = sum(len(p) for p, _ in simhash.pairs_in(x, np.array([0, len(x)]), mask, 1, 4096))
+    some = set(x.tolist())
+    assert n == sum(v ^ 1 << b in some for v in x.tolist() for b in range(64) if not int(mask) >> b & 1) // 2
 
 
 def _sketches(rows):
