@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenfold.llm import words as W
-from lumenfold.llm.common import batches, checkpoint, documents, parts
+from lumenfold.llm.common import batches, checkpoint, documents
 
 
 def patterns(bins: int) -> list[tuple[int, ...]]:
@@ -30,12 +30,19 @@ def patterns(bins: int) -> list[tuple[int, ...]]:
     return found
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int | None = None) -> np.ndarray:
-    """``x >= 0`` that makes ``|a x - b|`` least, by the active-set method; ``rounds`` bounds the columns that enter."""
+#: Parts in which the documents of a bin are ranked.
+PARTS = 1024
+
+
+def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``x >= 0`` that makes ``|a x - b|`` least, by the active-set method.
+
+    It ends at the optimum, after some two columns a row; that rounding can't make it
+    go round for ever, no more than 30 columns a row enter."""
     n = a.shape[1]
     x, passive = np.zeros(n), np.zeros(n, bool)
     gram_tol = 1e-10 * max(1.0, np.abs(a.T @ b).max(initial=0.0))
-    for _ in range(rounds or 3 * a.shape[0]):
+    for _ in range(30 * a.shape[0]):
         gradient = a.T @ (b - a @ x)
         gradient[passive] = -np.inf
         j = int(np.argmax(gradient))
@@ -96,7 +103,7 @@ def plan(histogram: np.ndarray, bins: int) -> list[tuple[tuple[int, ...], int]]:
             for b in p:
                 matrix[b, j] += 1
         weight = np.where(np.arange(bins + 1) < bins / 8, 0.1, 1.0)  # short ones fit anywhere later
-        x = nnls(matrix * weight[:, None], histogram / histogram.sum() * weight, 2 * bins) * histogram.sum()
+        x = nnls(matrix * weight[:, None], histogram / histogram.sum() * weight) * histogram.sum()
         for j in np.argsort(-x, kind="stable"):
             if x[j] < 0.5:
                 break
@@ -137,12 +144,13 @@ def pack_documents(docs: DataFrame, *, seq_len: int = 2048, width: int = 8) -> D
     ``starts[k]`` on; ``used`` is their sum.  Every token of every row of ``docs`` is in
     one sequence: a longer document is cut into whole sequences and a rest that is
     packed.  NULL texts and texts without tokens take no room; a NULL ``doc_id`` stays
-    NULL, and repeated rows are packed like any other row."""
+    NULL, and repeated rows are packed like any other row.  Which documents share a
+    sequence depends on the rows alone, not on how they are partitioned."""
     bins = seq_len // width
     lengths = checkpoint(documents(docs).mapInArrow(batches(_lengths), "doc_id long, n long").where("n > 0"))
     piece = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / seq_len).cast("long"))).alias("k")
     own = lengths.select("doc_id", "n", piece).select("doc_id", (F.col("k") * seq_len).alias("start"), F.least(F.lit(seq_len).cast("long"), F.col("n") - F.col("k") * seq_len).cast("int").alias("length"))
-    own = own.withColumn("bin", F.ceil(F.col("length") / width).cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts(docs.sparkSession, 2))).cast("int"))
+    own = own.withColumn("bin", F.ceil(F.col("length") / width).cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(PARTS)).cast("int"))
     counts = own.groupBy("part", "bin").agg(F.count("*").alias("n"))
     histogram = np.zeros(bins + 1, np.int64)
     for row in counts.groupBy("bin").agg(F.sum("n").alias("n")).collect():  # a row per bin

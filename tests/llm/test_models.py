@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter
+from itertools import combinations
 from math import log
 
 import numpy as np
@@ -148,6 +149,8 @@ def test_nnls_solves_and_patterns_fill():
     assert np.allclose(packing.nnls(a, a @ x), x, atol=1e-6)
     b = rng.normal(size=12)
     x = packing.nnls(a, b)
+    best = min(np.linalg.lstsq(a[:, at], b)[1].sum() for n in range(1, 8) for at in map(list, combinations(range(7), n)) if (np.linalg.lstsq(a[:, at], b)[0] >= 0).all())
+    assert ((a @ x - b) ** 2).sum() == pytest.approx(best)
     gradient = a.T @ (b - a @ x)
     assert (x >= 0).all() and (gradient <= 1e-6).all() and np.allclose(gradient[x > 0], 0, atol=1e-6)
     found = packing.patterns(12)
@@ -169,6 +172,47 @@ def test_a_plan_holds_the_histogram(seed):
     assert sum(n for _, n in steps) <= 1.05 * sum(n for _, n in packing.best_fit(h, 32)) + 2
 
 
+def fewest(items, bins):
+    """Least number of packs of ``bins`` for some lengths, by trying all ways."""
+    best = len(items)
+
+    def put(k, room):
+        nonlocal best
+        if len(room) >= best:
+            return
+        if k == len(items):
+            best = len(room)
+            return
+        for r in sorted({r for r in room if r >= items[k]}):
+            left = list(room)
+            left.remove(r)
+            put(k + 1, [*left, r - items[k]])
+        put(k + 1, [*room, bins - items[k]])
+
+    put(0, [])
+    return best
+
+
+def test_plans_are_near_the_optimum():
+    rng = np.random.default_rng(6)
+    more = 0
+    for _ in range(60):
+        items = sorted(rng.integers(1, 13, rng.integers(1, 12)).tolist(), reverse=True)
+        used = sum(n for _, n in packing.plan(np.bincount(items, minlength=13), 12))
+        least = fewest(items, 12)
+        assert least <= used <= least + 1
+        more += used - least
+    assert more <= 3
+
+
+def test_packs_do_not_depend_on_partitions(spark):
+    rng = random.Random(12)
+    rows = [(i, "w " * rng.randrange(1, 200)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, other = ([tuple(map(str, r)) for r in packing.pack_documents(docs.repartition(n), seq_len=64, width=4).collect()] for n in (1, 7))
+    assert sorted(one) == sorted(other)
+
+
 def test_packing_places_every_token_once(spark):
     rng = random.Random(2)
     sizes = [0, 1, 63, 64, 65, 128, 129, 1000] + [rng.randrange(1, 90) for _ in range(300)]
