@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumenfold.operators.shared import checkpoint
 
 Box = tuple[int, int, int, int]
 
@@ -81,18 +82,31 @@ class Grouper:
         return best.number
 
 
-def with_islands(detections: DataFrame, key: str, gap_sec: float) -> DataFrame:
-    """``island``: stretches of a video between which no event can live on, numbered in order of time."""
-    w = Window.partitionBy(key).orderBy("frame_idx", "det_seq")
-    new = F.coalesce(F.col("timestamp_sec") - F.lag("timestamp_sec").over(w) > gap_sec, F.lit(True)).cast("int")
-    return detections.withColumn("_new", new).withColumn("island", F.sum("_new").over(w)).drop("_new")
+def with_islands(detections: DataFrame, key: str, gap_sec: float, chunk: int = 100_000) -> DataFrame:
+    """``island``: stretches of a video between which no event can live on, numbered in order of time.
+
+    A video is worked on in stretches of ``chunk`` frames, so that one that never ends is
+    no single task; a row per stretch tells how they go on."""
+    own = detections.withColumn("_c", F.floor(F.col("frame_idx") / chunk))
+    w = Window.partitionBy(key, "_c").orderBy("frame_idx", "det_seq")
+    t, order = F.col("timestamp_sec"), F.struct("frame_idx", "det_seq")
+    own = own.withColumn("_new", F.coalesce(t - F.lag("timestamp_sec").over(w) > gap_sec, F.lit(False)).cast("int"))
+    chunks = own.groupBy(key, "_c").agg(F.min_by(t, order).alias("a"), F.max_by(t, order).alias("z"), F.sum("_new").alias("n"))
+    along = Window.partitionBy(key).orderBy("_c")
+    chunks = chunks.withColumn("n", F.col("n") + F.coalesce(F.col("a") - F.lag("z").over(along) > gap_sec, F.lit(True)).cast("int"))
+    chunks = chunks.select(key, "_c", F.sum("n").over(along).alias("_upto"))
+    last = Window.partitionBy(key, "_c").orderBy(F.desc("frame_idx"), F.desc("det_seq")).rowsBetween(Window.unboundedPreceding, -1)
+    # islands up to the end of the stretch, without those that begin later in it
+    return own.withColumn("_later", F.coalesce(F.sum("_new").over(last), F.lit(0))).join(chunks, [key, "_c"]).withColumn("island", F.col("_upto") - F.col("_later")).drop("_c", "_new", "_upto", "_later")
 
 
 def group_events(detections: DataFrame, rules: Matching = Matching(), *, key: str = "stream_id", min_confidence: float = 0.5) -> DataFrame:
     """``detections`` of at least ``min_confidence`` with ``event_id``, numbered from 1 in each video.
 
     Islands are independent, so a long video is worked on in parallel: rows go to tasks
-    by video and island, sorted by frame and place, and one pass numbers the events.
+    by video and island, sorted by frame and place, and one pass of Python numbers the
+    events; its result is checkpointed, so that both their count per island and the rows
+    themselves come from that one pass.
     Needs the columns ``key, frame_idx, det_seq, timestamp_sec, x1, y1, x2, y2, frame_w, frame_h``."""
     own = with_islands(detections.where(F.col("confidence") >= min_confidence), key, rules.gap_sec)
     own = own.repartition(key, "island").sortWithinPartitions(key, "island", "frame_idx", "det_seq")
@@ -108,7 +122,7 @@ def group_events(detections: DataFrame, rules: Matching = Matching(), *, key: st
                 local.append(grouper.add(f, t, (x1, y1, x2, y2), w, h))
             yield pdf.assign(local=pd.array(local, dtype="int32"))
 
-    found = own.mapInPandas(number, schema)
+    found = checkpoint(own.mapInPandas(number, schema))
     before = found.groupBy(key, "island").agg((F.max("local") + 1).alias("n"))
     w = Window.partitionBy(key).orderBy("island").rowsBetween(Window.unboundedPreceding, -1)
     before = before.select(key, "island", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_before"))
