@@ -60,7 +60,9 @@ def _amount(x: object) -> float | None:
 
 
 def parse_response(text: str | None) -> tuple:
-    """Fields of :data:`RESPONSE` of one answer of a model."""
+    """Fields of :data:`RESPONSE` of one answer of a model.
+
+    Flags are true where the answer says ``true``, not where it says ``"true"`` or 1; ``needs_review`` is true too where it is absent."""
     nothing = (False, None, None, None, None, False, True)
     try:
         found = find_json(text or "")
@@ -73,7 +75,7 @@ def parse_response(text: str | None) -> tuple:
     if not isinstance(found, dict):
         return (*nothing, "worker_exception: the answer is not an object")
     word = lambda k: None if found.get(k) is None else str(found[k])
-    return (True, word("donor"), _amount(found.get("amount")), word("currency"), word("message"), bool(found.get("fee_covered", False)), bool(found.get("needs_review", True)), None)
+    return (True, word("donor"), _amount(found.get("amount")), word("currency"), word("message"), found.get("fee_covered") is True, found.get("needs_review", True) is True, None)
 
 
 @F.pandas_udf(RESPONSE)

@@ -29,7 +29,8 @@ def dedup_donations(rows: DataFrame) -> DataFrame:
     return mark_repeats(rows, keys, eligible, "event_id").withColumnRenamed("duplicate_of", "duplicate_of_event_id")
 
 
-def _counted() -> Column:
+def counted() -> Column:
+    """Whether the totals count a row that isn't a duplicate."""
     number = T.normalize_amount(F.col("amount"))
     low = F.coalesce(F.col("best_detection_confidence") < 0.5, F.lit(False))
     return F.coalesce(F.col("parsed_ok"), F.lit(False)) & ~F.coalesce(F.col("needs_review"), F.lit(False)) & ~low & number.isNotNull()
@@ -38,7 +39,7 @@ def _counted() -> Column:
 def totals_by_currency(rows: DataFrame) -> DataFrame:
     """Count and sum per raw currency of rows that aren't duplicates, unreadable, under review or of low confidence."""
     currency = F.coalesce(F.when(F.col("currency") != "", F.col("currency")), F.lit("NO_CURRENCY"))
-    kept = rows.where(~F.coalesce(F.col("is_duplicate"), F.lit(False)) & _counted())
+    kept = rows.where(~F.coalesce(F.col("is_duplicate"), F.lit(False)) & counted())
     n = F.count("*")
     return kept.groupBy(currency.alias("currency")).agg(n.alias("events_count"), n.alias("amount_count"), F.round(F.sum(T.normalize_amount(F.col("amount"))), 2).alias("amount_sum"))
 
@@ -46,7 +47,7 @@ def totals_by_currency(rows: DataFrame) -> DataFrame:
 def totals_skipped(rows: DataFrame) -> DataFrame:
     """One row: how many non-duplicate rows the totals leave out, and how many duplicates there are."""
     duplicate = F.coalesce(F.col("is_duplicate"), F.lit(False))
-    return rows.agg(F.count_if(~duplicate & ~_counted()).alias("skipped"), F.count_if(duplicate).alias("duplicates"))
+    return rows.agg(F.count_if(~duplicate & ~counted()).alias("skipped"), F.count_if(duplicate).alias("duplicates"))
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:

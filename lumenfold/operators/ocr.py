@@ -27,9 +27,15 @@ def normalize_ocr(c: Column) -> Column:
     return F.trim(F.regexp_replace(plain, r"[^a-zа-я0-9 +\-?!;:,.₽€$]+", ""))
 
 
+#: Words that recognizers often get wrong, in this order: letters of the other alphabet that look alike, or a lost first letter.
+REPAIRS = {"M\u0435H\u044f": "меня", "M\u0435\u043d\u044f": "меня", "T\u044b": "Ты", "Бечерний": "Вечерний", " оха": " Тоха"}
+
+
 def tidy(c: Column) -> Column:
-    """Recognized text as it is shown: a line per part, no blank before punctuation."""
+    """Recognized text as it is shown: a line per part, frequent errors mended, no blank before punctuation."""
     parts = F.regexp_replace(c, r" \| ", "\n")
+    for wrong, right in REPAIRS.items():
+        parts = F.replace(parts, F.lit(wrong), F.lit(right))
     return F.trim(F.regexp_replace(F.regexp_replace(parts, r"\s+([,.!?])", "$1"), r"[ \t]+", " "))
 
 
@@ -175,3 +181,15 @@ def parse_lines(lines: list[str]) -> tuple[str, str, str, str]:
         used |= {at} | ({at - 1} if at and donor and donor in lines[at - 1] else set())
     upper = currency.strip().upper()
     return donor, amount, "RUB" if upper.rstrip(".") in ("РУБ", "Р") else upper, "\n".join(s for i, s in enumerate(lines) if i not in used)
+
+
+def parsed_plaques(rows: DataFrame, lines: str) -> DataFrame:
+    """``rows`` with ``donor, amount, currency, message`` by :func:`parse_lines` of an array of lines; NULL is no line."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", donor string, amount string, currency string, message string"
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            found = [parse_lines([] if v is None else [s for s in v if s is not None]) for v in pdf[lines]]
+            yield pdf.assign(**{c: [p[k] for p in found] for k, c in enumerate(("donor", "amount", "currency", "message"))})
+
+    return rows.mapInPandas(run, schema)

@@ -28,7 +28,7 @@ def _sql(div: str, double: str) -> dict[str, str]:
     amount = "CASE WHEN event_id % 6 = 3 THEN 'null' ELSE CAST((user_id % 5 + 1) * 100 AS VARCHAR(9)) END"
     body = f"""concat('{{"donor":"user_', {user}, '","amount":', {amount}, ',"currency":"RUB","message":"hi ', {user}, '","fee_covered":', CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END, ',"needs_review":', CASE WHEN event_id % 6 = 4 THEN 'true' ELSE 'false' END, '}}')"""
     responses = f"""event_id, concat('crops/event_', CAST(event_id AS VARCHAR(20)), '_x.png') AS crop_path, CASE event_id % 6 WHEN 1 THEN concat('Answer: ', {body}, ' done') WHEN 2 THEN 'no json here' WHEN 5 THEN '' ELSE {body} END AS raw_model_response"""
-    meta = "event_id AS id, CASE WHEN event_id % 40 = 2 THEN '' ELSE concat('event_', CAST(event_id AS VARCHAR(20)), '_best_detector_crop.png') END AS crop"
+    meta = "event_id AS id, CASE WHEN event_type = 'click' AND value < 0.1 THEN '' ELSE concat('event_', CAST(event_id AS VARCHAR(20)), '_best_detector_crop.png') END AS crop"
     return {"detections": detections, "donations": donations, "responses": responses, "meta": meta}
 
 
@@ -46,15 +46,18 @@ def sql(name: str) -> str:
     return f"(SELECT {_DUCK[name]} FROM events)"
 
 
+_CROP = "concat(CASE WHEN event_type = 'error' THEN 'extra_' ELSE 'event_' END, CAST(event_id AS VARCHAR(20)), CASE WHEN event_type = 'error' THEN '.png' ELSE '_best_detector_crop.png' END) AS crop"
+
+
 def crops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    named = e.where("event_id % 3 <> 0").select(F.concat(F.lit("event_"), F.col("event_id").cast("string"), F.lit("_best_detector_crop.png")).alias("crop"))
-    return named.unionByName(e.where("event_id % 50 = 0").select(F.concat(F.lit("extra_"), F.col("event_id").cast("string"), F.lit(".png")).alias("crop")))
+    """A crop file of every event; those of errors have names without a number."""
+    return spark.sql(f"SELECT {_CROP} FROM {{e}}", e=table(spark, sf_dir, "events"))
 
 
 def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(f"SELECT {_SPARK['meta']} FROM {{e}} WHERE event_id % 4 <> 0", e=table(spark, sf_dir, "events"))
+    """Metadata of every event but views, some without a crop; and so some names that no crop has."""
+    return spark.sql(f"SELECT {_SPARK['meta']} FROM {{e}} WHERE event_type <> 'view'", e=table(spark, sf_dir, "events"))
 
 
-CROPS_SQL = "(SELECT concat('event_', event_id::VARCHAR, '_best_detector_crop.png') AS crop FROM events WHERE event_id % 3 <> 0 UNION ALL SELECT concat('extra_', event_id::VARCHAR, '.png') FROM events WHERE event_id % 50 = 0)"
-META_SQL = f"(SELECT {_DUCK['meta']} FROM events WHERE event_id % 4 <> 0)"
+CROPS_SQL = f"(SELECT {_CROP} FROM events)"
+META_SQL = f"(SELECT {_DUCK['meta']} FROM events WHERE event_type <> 'view')"

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from lumenfold.functions import geometry as G
 from lumenfold.functions import python as P
 from lumenfold.functions import text as T
-from lumenfold.operators import dedup, grouping, rows, training
+from lumenfold.operators import dedup, grouping, ocr, rows, training
 from lumenfold.plans import fixtures as X
+from lumenfold.plans import runs
 from lumenfold.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,7 +174,25 @@ def gap_sessions(spark: SparkSession, d: str) -> DataFrame:
     return grouping.gap_sessions(_detections(spark, d)).select("stream_id", "frame_idx", "det_seq", "event_id")
 
 
-@query()
+# one step per detection of a stream; the open events travel as a list of structs
+_GROUPED = f"""RECURSIVE det AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY frame_idx, det_seq) AS place FROM {_DET} WHERE confidence >= 0.5),
+st AS (SELECT DISTINCT stream_id, 0::BIGINT AS place, NULL::INT AS frame_idx, NULL::INT AS det_seq, 0::BIGINT AS n, NULL::BIGINT AS event_id,
+  []::STRUCT(num BIGINT, x1 INT, y1 INT, x2 INT, y2 INT, frame INT, t DOUBLE, hs INT[])[] AS o FROM det
+ UNION ALL
+ SELECT stream_id, place, frame_idx, det_seq, n + CASE WHEN hit IS NULL THEN 1 ELSE 0 END, coalesce(hit, n + 1),
+  CASE WHEN hit IS NULL THEN list_append(o, struct_pack(num := n + 1, x1 := x1, y1 := y1, x2 := x2, y2 := y2, frame := frame_idx, t := timestamp_sec, hs := [y2 - y1]))
+   ELSE list_transform(o, lambda e: CASE WHEN e.num = hit THEN struct_pack(num := e.num, x1 := x1, y1 := y1, x2 := x2, y2 := y2, frame := frame_idx, t := timestamp_sec, hs := list_append(e.hs, y2 - y1)[-5:]) ELSE e END) END
+ FROM (SELECT *, list_filter(ok, lambda e: e.gain = list_max(list_transform(ok, lambda q: q.gain)))[1].num AS hit
+  FROM (SELECT *, list_filter(list_transform(far, lambda e: struct_pack(num := e.num, gain := CASE WHEN (e.iou < 0.25 AND (e.frame = frame_idx OR e.dist > 0.05))
+    OR (list_sort(e.hs)[len(e.hs) // 2 + 1] > 0 AND abs(y2 - y1 - list_sort(e.hs)[len(e.hs) // 2 + 1]) > 0.10::DOUBLE * list_sort(e.hs)[len(e.hs) // 2 + 1]) THEN NULL ELSE e.iou - e.dist END)), lambda e: e.gain IS NOT NULL) AS ok
+   FROM (SELECT *, list_transform(pairs, lambda e: struct_pack(num := e.num, frame := e.frame, hs := e.hs, dist := e.dist, iou := e.i::DOUBLE / ((x2 - x1)::BIGINT * (y2 - y1) + (e.x2 - e.x1)::BIGINT * (e.y2 - e.y1) - e.i))) AS far
+    FROM (SELECT *, list_transform(o, lambda e: struct_pack(num := e.num, frame := e.frame, hs := e.hs, x1 := e.x1, y1 := e.y1, x2 := e.x2, y2 := e.y2,
+      dist := sqrt(((e.x1 + e.x2) / 2.0::DOUBLE - (x1 + x2) / 2.0::DOUBLE) ** 2 + ((e.y1 + e.y2) / 2.0::DOUBLE - (y1 + y2) / 2.0::DOUBLE) ** 2) / sqrt((frame_w * frame_w + frame_h * frame_h)::DOUBLE),
+      i := greatest(0, least(x2, e.x2) - greatest(x1, e.x1))::BIGINT * greatest(0, least(y2, e.y2) - greatest(y1, e.y1)))) AS pairs
+     FROM (SELECT d.*, st.n, list_filter(st.o, lambda e: d.timestamp_sec - e.t <= 3.0::DOUBLE) AS o FROM st JOIN det d ON d.stream_id = st.stream_id AND d.place = st.place + 1))))))"""
+
+
+@query(f"WITH {_GROUPED} SELECT stream_id, frame_idx, det_seq, event_id FROM st WHERE place > 0")
 def group_events(spark: SparkSession, d: str) -> DataFrame:
     return grouping.group_events(_detections(spark, d)).select("stream_id", "frame_idx", "det_seq", "event_id")
 
@@ -223,10 +242,43 @@ def train_negatives(spark: SparkSession, d: str) -> DataFrame:
     return training.stratified(training.negative_frames(det, det, low=0.6), 50, 0).select("stream_id", "frame_idx")
 
 
-@query(f"WITH {_WEAK}, {_SCORED} SELECT strategy, place, n FROM (SELECT 'best' AS strategy, 0 AS place, count(DISTINCT (stream_id, event_id)) AS n FROM scored UNION ALL SELECT 'worst', 1, 0 UNION ALL SELECT 'random', 2, 0 UNION ALL SELECT 'uncertain', 3, count(*) FROM weak UNION ALL SELECT 'negatives', 4, 0)")
+_WEAKS = "SELECT *, least(frame_idx * 20 // 6000, 19)::INT AS bucket FROM weak QUALIFY row_number() OVER (PARTITION BY stream_id, least(frame_idx * 20 // 6000, 19) ORDER BY md5(concat_ws(':', '0', stream_id, frame_idx)), frame_idx) = 1"
+_SAMPLES = f"""{_WEAK}, {_SCORED}, {_FRAMES}, samples AS (
+SELECT 'best' AS strategy, stream_id, event_id, frame_idx, score FROM scored QUALIFY row_number() OVER (PARTITION BY stream_id, event_id ORDER BY score DESC, frame_idx, det_seq) = 1
+UNION ALL SELECT 'worst', stream_id, event_id, frame_idx, low FROM fr QUALIFY row_number() OVER (PARTITION BY stream_id, event_id ORDER BY low, frame_idx) <= 2
+UNION ALL SELECT 'random', stream_id, event_id, frame_idx, high FROM fr QUALIFY row_number() OVER (PARTITION BY stream_id, event_id ORDER BY md5(concat_ws(':', '0', stream_id, event_id, frame_idx)), frame_idx) = 1
+UNION ALL SELECT 'uncertain', stream_id, NULL, frame_idx, confidence FROM ({_WEAKS})
+UNION ALL SELECT 'negatives', stream_id, NULL, frame_idx, NULL FROM (SELECT stream_id, frame_idx FROM (SELECT DISTINCT stream_id, frame_idx FROM {_DET}) ANTI JOIN (SELECT DISTINCT stream_id, frame_idx FROM {_DET} WHERE confidence >= 0.25) USING (stream_id, frame_idx)
+  QUALIFY row_number() OVER (PARTITION BY stream_id, least(frame_idx * 20 // 6000, 19) ORDER BY md5(concat_ws(':', '0', stream_id, frame_idx)), frame_idx) = 1))"""
+_COLLECT = runs.RunConfig(strategies=training.STRATEGIES, budget=20, worst_per_event=2)
+
+
+def _samples(spark: SparkSession, d: str) -> DataFrame:
+    det = _detections(spark, d)
+    return runs.training_samples(_scored(spark, d), det, det, _COLLECT, total_frames=6000)
+
+
+@query(f"WITH {_SAMPLES} SELECT strategy, stream_id, event_id, frame_idx, score FROM samples")
+def train_samples(spark: SparkSession, d: str) -> DataFrame:
+    return _samples(spark, d)
+
+
+@query(f"WITH {_SAMPLES} SELECT strategy, place, count(stream_id) AS n FROM (VALUES ('best', 0), ('worst', 1), ('random', 2), ('uncertain', 3), ('negatives', 4)) v(strategy, place) LEFT JOIN samples USING (strategy) GROUP BY ALL")
 def train_strategy_counts(spark: SparkSession, d: str) -> DataFrame:
-    best = training.best_frames(_scored(spark, d)).select(F.lit("best").alias("strategy"))
-    return training.strategy_counts(best.unionAll(training.uncertain_frames(_detections(spark, d)).select(F.lit("uncertain").alias("strategy"))))
+    return training.strategy_counts(_samples(spark, d))
+
+
+_HMS = "printf('%02d:%02d:%06.3f', floor({0})::BIGINT // 3600, floor({0})::BIGINT // 60 % 60, {0} - floor({0} / 60) * 60)"
+
+
+@query(f"""WITH {_SCORED}, best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY stream_id, event_id ORDER BY score DESC, frame_idx, det_seq) = 1),
+boxes AS (SELECT stream_id, frame_idx, count(*)::INT AS n FROM {_DET} WHERE confidence >= 0.5 GROUP BY ALL), b AS (SELECT best.*, n, concat('best_', stream_id, '_', printf('%07d', frame_idx)) AS stem FROM best LEFT JOIN boxes USING (stream_id, frame_idx))
+SELECT concat('images/', stem, '.jpg') AS image, 'best' AS strategy, confidence, round_even(score, 4) AS select_score, event_id, frame_idx, {_HMS.format("timestamp_sec")} AS "time", coalesce(n, 0)::INT AS num_boxes,
+ concat('[', x1, ',', y1, ',', x2, ',', y2, ']') AS box_xyxy, {_SHARE} AS box_cxcywh, frame_w, frame_h, concat('labels/', stem, '.txt') AS label, concat('previews/', stem, '.jpg') AS preview, 'v.mp4' AS video FROM b""")
+def train_manifest(spark: SparkSession, d: str) -> DataFrame:
+    labels = _detections(spark, d).where("confidence >= 0.5").groupBy("stream_id", "frame_idx").agg(F.count("*").alias("num_boxes"))
+    samples = training.best_frames(_scored(spark, d)).withColumn("strategy", F.lit("best"))
+    return training.manifest(samples, labels, "v.mp4")
 
 
 @query(f"""WITH c AS (SELECT crop, row_number() OVER (ORDER BY crop) - 1 AS place FROM (SELECT DISTINCT crop FROM {X.CROPS_SQL})), m AS (SELECT id, nullif(crop, '') AS crop FROM {X.META_SQL})
@@ -246,13 +298,56 @@ def extract_json(spark: SparkSession, d: str) -> DataFrame:
     return rows.parsed_rows(X.build(spark, d, "responses")).select(*"event_id parsed_ok donor amount currency message fee_covered needs_review".split())
 
 
-@query(f"""WITH {_PARSED}, e AS (SELECT event_id FROM events WHERE event_id % 5 <> 1), a AS (SELECT * FROM p WHERE event_id % 9 <> 0)
+@query(f"""WITH {_PARSED}, a AS (SELECT p.* FROM p JOIN {X.sql('responses')} r USING (event_id) WHERE r.raw_model_response <> '')
 SELECT e.event_id, coalesce(parsed_ok, false) AS parsed_ok, donor, amount, coalesce(fee_covered, false) AS fee_covered, coalesce(needs_review, true) AS needs_review, CASE WHEN a.event_id IS NULL THEN 'vlm_skipped' ELSE '' END AS model_error
-FROM e LEFT JOIN a USING (event_id)""")
+FROM events e LEFT JOIN a USING (event_id)""")
 def event_rows_defaults(spark: SparkSession, d: str) -> DataFrame:
-    answers = rows.parsed_rows(X.build(spark, d, "responses").where("event_id % 9 <> 0")).withColumn("model_error", F.lit(None).cast("string"))
-    events = X.table(spark, d, "events").where("event_id % 5 <> 1").select("event_id")
-    return rows.event_rows(events, answers).select("event_id", "parsed_ok", "donor", "amount", "fee_covered", "needs_review", "model_error")
+    answers = rows.parsed_rows(X.build(spark, d, "responses").where("raw_model_response <> ''")).withColumn("model_error", F.lit(None).cast("string"))  # an empty answer is none
+    return rows.event_rows(X.table(spark, d, "events").select("event_id"), answers).select("event_id", "parsed_ok", "donor", "amount", "fee_covered", "needs_review", "model_error")
+
+
+_RAW = """CASE event_type WHEN 'click' THEN '"false"' WHEN 'view' THEN 'true' WHEN 'error' THEN '1' WHEN 'signup' THEN 'null' ELSE '"true"' END"""
+
+
+@query("SELECT event_id, true AS parsed_ok, event_type = 'view' AS fee_covered, event_type = 'view' AS needs_review FROM events")
+def answer_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Flags count where they are ``true`` itself, and not a text or a number that looks like it."""
+    e = X.table(spark, d, "events").selectExpr("event_id", f"""concat('{{"needs_review": ', {_RAW}, ', "fee_covered": ', {_RAW}, '}}') AS raw_model_response""")
+    return rows.parsed_rows(e).select("event_id", "parsed_ok", "fee_covered", "needs_review")
+
+
+_TRUTH = f"(SELECT concat('event_', event_id, '_x.png') AS file_name, concat('user_', user_id % 40) AS donor, (user_id % 5 + 1) * 100.0::DOUBLE AS amount, user_id % 3 = 0 AS fee_covered FROM events WHERE event_type <> 'view')"
+_LOOKUP = f"""{_PARSED}, k AS (SELECT file_name, max(struct_pack(donor := donor, amount := amount, fee_covered := fee_covered)) AS t FROM {_TRUTH} GROUP BY 1),
+m AS (SELECT regexp_extract(crop_path, '[^/]*$', 0) AS file_name, p.*, t FROM p LEFT JOIN k ON k.file_name = regexp_extract(crop_path, '[^/]*$', 0))"""
+
+
+def _compared(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    said = rows.parsed_rows(X.build(spark, d, "responses")).withColumn("file_name", F.element_at(F.split("crop_path", "/"), -1))
+    e, user = X.table(spark, d, "events").where("event_type <> 'view'"), F.col("user_id")
+    truth = e.select(F.concat(F.lit("event_"), F.col("event_id").cast("string"), F.lit("_x.png")).alias("file_name"), F.concat(F.lit("user_"), (user % 40).cast("string")).alias("donor"), ((user % 5 + 1) * 100).cast("double").alias("amount"), (user % 3 == 0).alias("fee_covered"))
+    return rows.compared(said, truth, ["amount", "fee_covered"])
+
+
+@query(f"WITH {_LOOKUP} SELECT file_name, CASE WHEN amount IS NULL THEN 0.0::DOUBLE WHEN amount = t.amount THEN 1 ELSE 0 END AS sim_amount, CASE WHEN fee_covered = t.fee_covered THEN 1.0::DOUBLE ELSE 0 END AS sim_fee_covered FROM m WHERE t IS NOT NULL")
+def truth_lookup(spark: SparkSession, d: str) -> DataFrame:
+    return _compared(spark, d)[0].select("file_name", "sim_amount", "sim_fee_covered")
+
+
+@query(f"WITH {_LOOKUP} SELECT file_name FROM m WHERE t IS NULL")
+def truth_missing(spark: SparkSession, d: str) -> DataFrame:
+    return _compared(spark, d)[1]
+
+
+@query(f"WITH {_LOOKUP}, s AS (SELECT file_name, unnest([struct_pack(f := 'amount', v := CASE WHEN amount IS NULL THEN 0.0::DOUBLE WHEN amount = t.amount THEN 1 ELSE 0 END), struct_pack(f := 'fee_covered', v := CASE WHEN fee_covered = t.fee_covered THEN 1.0::DOUBLE ELSE 0 END)]) AS e FROM m WHERE t IS NOT NULL) SELECT file_name, e.f AS field, e.v AS similarity FROM s WHERE e.v < 0.97")
+def residual_errors(spark: SparkSession, d: str) -> DataFrame:
+    return rows.residual_errors(_compared(spark, d)[0], ["amount", "fee_covered"])
+
+
+@query(f"""WITH {_DEDUP}, c AS (SELECT count(*) AS events, count(*) FILTER (NOT parsed_ok) AS error_events, count(*) FILTER (is_duplicate) AS duplicates, count(*) FILTER (NOT is_duplicate AND NOT {_COUNTED}) AS skipped FROM fin)
+SELECT events, error_events, duplicates, skipped, (SELECT count(DISTINCT (stream_id, frame_idx)) FROM {_DET}) AS frames, (SELECT count(*) FROM {_DET} WHERE confidence >= 0.5) AS raw_detections FROM c""")
+def run_counters(spark: SparkSession, d: str) -> DataFrame:
+    done = dedup.dedup_donations(X.build(spark, d, "donations")).withColumn("model_error", F.when(~F.col("parsed_ok"), "json_parse_failed").otherwise(""))
+    return rows.whole_run_counters(done, _detections(spark, d))
 
 
 @query(f"WITH {_PARSED} SELECT regexp_extract(crop_path, '[^/]*$', 0) AS file_name, donor, amount, currency, message, fee_covered FROM p WHERE parsed_ok")
@@ -324,6 +419,42 @@ def bench_span_aggregate(spark: SparkSession, d: str) -> DataFrame:
     return rows.span_rates(runs, "engine")
 
 
+_BEST = "(SELECT o_orderpriority AS engine, min((1 + o_custkey % 13 + o_orderkey % 7)::DOUBLE + length(o_orderpriority)) AS best_sec FROM orders GROUP BY 1)"
+
+
+@query(f"SELECT engine, best_sec, round((SELECT best_sec FROM {_BEST} WHERE engine = '5-LOW') / best_sec, 6) AS speedup FROM {_BEST}")
+def engine_speedups(spark: SparkSession, d: str) -> DataFrame:
+    sec = (F.lit(1) + F.col("o_custkey") % 13 + F.col("o_orderkey") % 7).cast("double") + F.length("o_orderpriority")
+    return rows.speedups(X.table(spark, d, "orders").select(F.col("o_orderpriority").alias("engine"), sec.alias("sec")), "engine", "sec", "5-LOW")
+
+
+@query("WITH r AS (SELECT o_orderdate AS setting, round(sum(o_custkey % 100) / 7.0::DOUBLE, 6) AS rate FROM orders GROUP BY 1) SELECT setting, rate, CASE WHEN rate >= 40 THEN 'headroom' WHEN rate >= 20 THEN 'enough' ELSE 'too slow' END AS verdict FROM r ORDER BY rate DESC, setting LIMIT 1")
+def sweep_best(spark: SparkSession, d: str) -> DataFrame:
+    """The setting of the highest rate: a report of one row."""
+    r = X.table(spark, d, "orders").groupBy(F.col("o_orderdate").alias("setting")).agg(F.round(F.sum(F.col("o_custkey") % 100) / 7.0, 6).alias("rate"))
+    return rows.best_setting(r, "setting", "rate", 20.0)
+
+
+# a recognizer's answer of two lines in wrong order, one of them in two blocks and repeated with less confidence
+_ANSWER = """concat('{"rec_texts": ["hello ', event_id, '", "user_', user_id % 40, '", "- ', (user_id % 5 + 1) * 100, ' RUB", "user_', user_id % 40, '"], "rec_scores": [0.9, 0.8, 0.7, 0.6], "rec_polys": [[[10, 60], [90, 60], [90, 70], [10, 70]], [[10, 20], [40, 20], [40, 30], [10, 30]], [[50, 21], [90, 21], [90, 31], [50, 31]], [[10, 20], [40, 20], [40, 30], [10, 30]]]}')"""
+
+
+@query("SELECT event_id, 3 AS n_blocks, concat('user_', user_id % 40, ' - ', (user_id % 5 + 1) * 100, ' RUB') AS first, concat('hello ', event_id) AS second FROM events")
+def ocr_lines(spark: SparkSession, d: str) -> DataFrame:
+    r = X.table(spark, d, "events").selectExpr("event_id", f"{_ANSWER} AS result", "100 AS height")
+    read = ocr.read_results(r, "result", "height")
+    return read.select("event_id", F.size("blocks").alias("n_blocks"), F.col("lines")[0].alias("first"), F.col("lines")[1].alias("second"))
+
+
+@query("""SELECT event_id, concat('user_', user_id % 40) AS donor, CASE WHEN event_type = 'error' THEN '' ELSE ((user_id % 5 + 1) * 100)::VARCHAR END AS amount,
+ CASE event_type WHEN 'error' THEN '' WHEN 'view' THEN 'USD' WHEN 'click' THEN 'RUB' WHEN 'signup' THEN '€' ELSE 'RUB' END AS currency, concat('hello ', event_id) AS message FROM events""")
+def ocr_rules(spark: SparkSession, d: str) -> DataFrame:
+    """The rule parser on plaques whose parts are known: amounts with five currencies, or none."""
+    sign = "CASE event_type WHEN 'view' THEN 'usd' WHEN 'click' THEN 'руб.' WHEN 'signup' THEN '€' ELSE 'р' END"
+    first = f"concat('user_', user_id % 40, CASE WHEN event_type = 'error' THEN '' ELSE concat(' - ', (user_id % 5 + 1) * 100, ' ', {sign}) END)"
+    return ocr.parsed_plaques(X.table(spark, d, "events").selectExpr("event_id", f"array({first}, concat('hello ', event_id)) AS lines"), "lines").drop("lines")
+
+
 @query("SELECT event_id, TRY_CAST(replace(replace(regexp_extract(l, '([0-9][0-9 ]*(?:[.,][0-9]{1,2})?) *(?:RUB|USD|EUR)', 1), ' ', ''), ',', '.') AS DOUBLE) AS amount FROM (SELECT event_id, concat('user - ', (event_id % 9)::VARCHAR, ' 5', (event_id % 10)::VARCHAR, '0', CASE WHEN event_id % 2 = 0 THEN ',50' ELSE '' END, CASE event_id % 3 WHEN 0 THEN ' RUB' WHEN 1 THEN ' USD' ELSE ' points' END) AS l FROM events)")
 def ocr_amount_parse(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("event_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from lumenfold import schemas as S
 from lumenfold.functions import geometry as G
 from lumenfold.functions import text as T
-from lumenfold.operators import dedup, grouping, rows
+from lumenfold.operators import dedup, grouping, rows, training
 from lumenfold.operators.grouping import Matching
-from lumenfold.sources import sinks
+from lumenfold.sources import readers, sinks
 
 
 @dataclass(frozen=True)
@@ -32,31 +33,67 @@ class RunConfig:
     uncertain_min: float = 0.25
     budget: int = 200
     worst_per_event: int = 1
+    engine: str = "python"
+    max_tokens: int = 1024
+    timeout: float = 300.0
+    retries: int = 2
 
     def __post_init__(self) -> None:
-        from lumenfold.operators.training import STRATEGIES
-
-        if min(self.frame_step, self.keep_top, self.budget, self.worst_per_event) < 1:
-            raise ValueError("frame_step, keep_top, budget and worst_per_event must be at least 1")
-        if unknown := set(self.strategies) - set(STRATEGIES):
+        for name in ("frame_step", "keep_top", "budget", "worst_per_event", "max_tokens", "timeout"):
+            if getattr(self, name) < 1:
+                raise ValueError(f"{name} must be at least 1")
+        if self.engine not in ("python", "native"):
+            raise ValueError("engine must be python or native")
+        if self.engine == "native" and self.strategies:
+            raise ValueError("the native engine keeps no candidates, so that it can't collect training data")
+        if unknown := set(self.strategies) - set(training.STRATEGIES):
             raise ValueError(f"unknown strategies: {sorted(unknown)}")
         if "uncertain" in self.strategies and not 0 < self.uncertain_min < self.min_confidence:
             raise ValueError("uncertain_min must lie between 0 and min_confidence")
 
+    def extractor(self, url: str, model: str, prompt: str) -> readers.HttpExtractor:
+        """What asks a model server, with the run's limits."""
+        return readers.HttpExtractor(url, model, prompt, max_tokens=self.max_tokens, timeout=self.timeout)
+
     @property
     def detect_confidence(self) -> float:
         """What a detector has to report."""
         return self.uncertain_min if "uncertain" in self.strategies else self.min_confidence
 
 
+def detected(frames: DataFrame, model: Callable, config: RunConfig = RunConfig()) -> DataFrame:
+    """Detections of the sampled frames that the run needs (of weak ones too, where a strategy wants them)."""
+    found = readers.detect(readers.sample_frames(frames, config.frame_step, config.max_frames), model)
+    return found.where(F.col("confidence") >= config.detect_confidence)
+
+
+def training_samples(scored: DataFrame, detections: DataFrame, frames: DataFrame, config: RunConfig, total_frames: int = 0, seed: int = 0) -> DataFrame:
+    """``strategy, stream_id, event_id, frame_idx, score`` of the run's strategies: from scored detections of events, weak ones and sampled frames."""
+    weak = training.uncertain_frames(detections, config.uncertain_min, config.min_confidence)
+    none = training.negative_frames(frames, detections, config.detect_confidence)
+    of = {
+        "best": lambda: training.best_frames(scored), "worst": lambda: training.worst_frames(scored, config.worst_per_event), "random": lambda: training.random_frames(scored, seed),
+        "uncertain": lambda: training.stratified(weak, config.budget, total_frames, seed).withColumnRenamed("confidence", "score"), "negatives": lambda: training.stratified(none, config.budget, total_frames, seed),
+    }
+    columns = {"event_id": "long", "score": "double"}
+    parts = []
+    for name in config.strategies:
+        part = of[name]()
+        more = [F.col(c) if c in part.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()]
+        parts.append(part.select(F.lit(name).alias("strategy"), "stream_id", more[0], "frame_idx", more[1]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def detector_rows(detections: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
     """A row per event with the fields known before extraction (``S.FULL_META``); ``detections`` may have ``sharpness_var``.
 
-    Confidence is the event's best, while time, frame, score and boxes are those of its best-scored detection."""
+    Detections whose padded box is empty are passed over.  Confidence is the event's best, while time, frame, score and boxes are those of its best-scored detection."""
     if "sharpness_var" not in detections.columns:
         detections = detections.withColumn("sharpness_var", F.lit(0.0))
-    grouped = grouping.group_events(detections, config.matching, min_confidence=config.min_confidence).withColumn("b", G.box("x1", "y1", "x2", "y2"))
     w, h = F.col("frame_w"), F.col("frame_h")
+    padded = G.expand_box(G.box("x1", "y1", "x2", "y2"), w, h, config.pad_x, config.pad_y)
+    some = detections.where((padded["x2"] > padded["x1"]) & (padded["y2"] > padded["y1"]))
+    grouped = grouping.group_events(some, config.matching, min_confidence=config.min_confidence).withColumn("b", G.box("x1", "y1", "x2", "y2"))
     grouped = grouped.withColumn("p", G.expand_box(F.col("b"), w, h, config.pad_x, config.pad_y))
     grouped = grouped.withColumn("score", G.candidate_score(F.col("confidence"), F.col("b"), F.col("p"), F.col("sharpness_var"), w, h))
     best = grouping.top_candidates(grouped, 1).select("stream_id", "event_id", F.col("timestamp_sec").alias("_t"), F.col("frame_idx").alias("_f"), "score", "b", "p")
@@ -92,11 +129,13 @@ def reports(events: DataFrame, answers: DataFrame | None, folder: str, run: dict
     return info
 
 
-def extraction_stage(crops: DataFrame, meta: DataFrame, extractor: Callable[[dict], str], *, concurrency: int = 8) -> DataFrame:
-    """``event_id, crop, state, raw_model_response, request_error`` of finished crops; ``crops`` has ``crop, url``.
+def extraction_stage(crops: DataFrame, meta: DataFrame, extractor: Callable[[dict], str], *, concurrency: int = 8, retries: int = 2, pause: float = 1.0) -> DataFrame:
+    """``event_id, crop, state, raw_model_response, request_error, latency_sec`` of finished crops; ``crops`` has ``crop, url``.
 
-    ``concurrency`` tasks ask at a time; metadata without a crop keeps its row."""
+    ``concurrency`` tasks ask at a time; metadata without a crop keeps its row.  Neither crops nor metadata is an error."""
+    if crops.isEmpty() and meta.isEmpty():
+        raise FileNotFoundError("there are neither crops nor metadata, so there is nothing to extract")
     jobs = rows.crop_jobs(crops, meta).join(crops, "crop", "left").repartition(concurrency)
-    ready = rows.extract(jobs.where("url IS NOT NULL"), extractor, ["crop", "url"])
-    lost = jobs.where("url IS NULL").withColumns({"raw_model_response": F.lit(None).cast("string"), "request_error": F.when(F.col("state") == "crop_missing", "crop_missing").otherwise("crop_load_failed")})
+    ready = rows.extract(jobs.where("url IS NOT NULL"), extractor, ["crop", "url"], retries, pause)
+    lost = jobs.where("url IS NULL").withColumns({"latency_sec": F.lit(None).cast("double"), "raw_model_response": F.lit(None).cast("string"), "request_error": F.when(F.col("state") == "crop_missing", "crop_missing").otherwise("crop_load_failed")})
     return ready.unionByName(lost).drop("url")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,49 @@ def sample_frames(frames: DataFrame, step: int = 10, limit: int = 0) -> DataFram
     return kept.where(F.col("frame_idx") < step * limit) if limit else kept
 
 
+def probe_videos(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """``video_name, path, width, height, fps, total_frames`` of the MP4 and AVI files of a folder that executors share.
+
+    Only headers are read.  Where they don't tell, width and height are NULL, ``fps`` is 30 and ``total_frames`` 0."""
+    from lumenfold.functions.media import probe
+
+    names = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+
+    def run(it):
+        for pdf in it:
+            found = [probe(p) for p in pdf["path"]]
+            yield pd.DataFrame({"video_name": [p.rsplit("/", 1)[-1] for p in pdf["path"]], "path": pdf["path"], **{c: pd.array([f[k] for f in found], t) for k, (c, t) in enumerate((("width", "Int32"), ("height", "Int32"), ("fps", "float64"), ("total_frames", "int64")))}})
+
+    return names.mapInPandas(run, "video_name string, path string, width int, height int, fps double, total_frames long")
+
+
+def scan_videos(videos: DataFrame, step: int = 10, limit: int = 0, decode=None, batch: int = 8) -> DataFrame:
+    """A row per sampled frame of ``videos`` (:func:`probe_videos`): ``video_name, path, frame_idx, timestamp_sec, frame_w, frame_h``.
+
+    With ``decode(path, frame indexes)``, which yields the frames' bytes in that order (the
+    codec is the caller's), there is a column ``data``; no more than ``batch`` frames of a
+    video are held at a time.  A video of unknown length has no rows."""
+    from pyspark.sql.types import BinaryType
+
+    last = F.floor((F.col("total_frames") - 1) / step)
+    last = F.least(last, F.lit(limit - 1)) if limit else last
+    frames = videos.where("total_frames > 0").select("video_name", "path", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("k"), "fps", "width", "height")
+    frames = frames.select("video_name", "path", (F.col("k") * step).cast("int").alias("frame_idx"), (F.col("k") * step / F.col("fps")).alias("timestamp_sec"), F.col("width").alias("frame_w"), F.col("height").alias("frame_h"))
+    if decode is None:
+        return frames
+
+    def run(it):
+        for pdf in it:
+            for path, part in pdf.groupby("path", sort=False):
+                indexes = part["frame_idx"].tolist()
+                found = iter(decode(path, indexes))
+                for a in range(0, len(part), batch):
+                    some = part.iloc[a : a + batch]
+                    yield some.assign(data=[next(found) for _ in range(len(some))])
+
+    return frames.repartition("path").sortWithinPartitions("path", "frame_idx").mapInPandas(run, frames.schema.add("data", BinaryType()))
+
+
 def detect(frames: DataFrame, model, schema: str = S.DETECTIONS) -> DataFrame:
     """Table function of a detector: ``model()`` makes, once per task, a function from a pandas batch of frames to one of detections."""
 
@@ -96,6 +140,14 @@ def detector_stream(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return event, summary, r.where("kind IS NULL AND trim(value) <> ''").select("value")
 
 
+def the_summary(summaries: DataFrame) -> dict:
+    """The last summary of a detector's lines (:func:`detector_stream`); without any the run is broken."""
+    found = summaries.tail(1)
+    if not found:
+        raise RuntimeError("the detector ended without a summary")
+    return found[0].asDict()
+
+
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
     """Ground truth under ``donations`` or ``examples``."""
     row = "array<struct<file_name: string, donor: string, amount: double, currency: string, message: string, fee_covered: boolean>>"
