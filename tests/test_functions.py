@@ -105,6 +105,13 @@ def test_json_answers(spark):
     assert [tuple(r)[0] for r in df.collect()] == [g[0] for g in got]
 
 
+def test_flags_are_true_only_where_the_answer_says_true():
+    flags = lambda x: P.parse_response('{"needs_review": %s, "fee_covered": %s}' % (x, x))[5:7]
+    assert flags("true") == (True, True)
+    assert all(flags(x) == (False, False) for x in ("false", "null", '"true"', '"false"', "1", "0", "[true]"))
+    assert P.parse_response("{}")[5:7] == (False, True)
+
+
 def test_similarity(spark):
     rows = [("hello world", "hallo world"), (None, None), (None, "x"), ("", "")]
     got = [r[0] for r in one(spark, "a string, b string", rows, P.text_similarity(F.col("a"), F.col("b")))]

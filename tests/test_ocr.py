@@ -24,6 +24,17 @@ def test_blocks_and_lines(spark):
     assert got[1]["score"] == pytest.approx((0.9 + 0.8 + 0.95) / 3 * 1.2 + chars / 120 + 0.5)
 
 
+def test_frequent_errors_are_mended(spark):
+    texts = ["M\u0435H\u044f | T\u044b , там", "M\u0435\u043d\u044f", "Бечерний  звон", "это оха !", "как есть"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(ocr.tidy(F.col("t"))).collect()]
+    assert got == ["меня\nТы, там", "меня", "Вечерний звон", "это Тоха!", "как есть"]
+
+
+def test_plaques_without_lines(spark):
+    got = ocr.parsed_plaques(spark.createDataFrame([(1, None), (2, []), (3, ["Ivan - 500 RUB", None, "hi"])], "id int, l array<string>"), "l").collect()
+    assert [tuple(r)[2:] for r in sorted(got)] == [("", "", "", ""), ("", "", "", ""), ("Ivan", "500", "RUB", "hi")]
+
+
 def test_rule_parser():
     assert ocr.parse_lines(["Ivan - 500 RUB", "hello", "there"]) == ("Ivan", "500", "RUB", "hello\nthere")
     assert ocr.parse_lines(["Ivan - 1", "500 руб", "hi"])[1:] in (("1", "", "500 руб\nhi"), ("1500", "RUB", "hi"))

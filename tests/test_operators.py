@@ -63,6 +63,32 @@ def test_grouping_follows_the_rules(spark, seed):
     assert {(r["stream_id"], r["frame_idx"], r["det_seq"]): r["event_id"] for r in got} == brute_group(video(seed), rules)
 
 
+def test_islands_of_a_long_video(spark):
+    """Stretches of a video are put together again, with holes before, at and over their ends, and of several videos."""
+    rng = random.Random(7)
+    rows_ = []
+    for v in range(3):
+        f = 0
+        for _ in range(200):
+            f += rng.choice((1, 1, 2, 30, 31, 90, 400))
+            rows_ += [(v, f, s, f / 10.0) for s in range(rng.randrange(1, 3))]
+    det = spark.createDataFrame(rows_, "stream_id long, frame_idx int, det_seq int, timestamp_sec double").repartition(4)
+    want, last = {}, {}
+    for v, f, s, t in rows_:
+        n, before = last.get(v, (0, None))
+        n += before is None or t - before > 3.0
+        last[v] = (n, t)
+        want[v, f, s] = n
+    for chunk in (1, 7, 100, 100_000):
+        got = grouping.with_islands(det, "stream_id", 3.0, chunk).collect()
+        assert {(r["stream_id"], r["frame_idx"], r["det_seq"]): r["island"] for r in got} == want
+
+
+def test_python_groups_once(spark):
+    grouped = grouping.group_events(spark.createDataFrame(video(1), S.DETECTIONS))
+    assert "MapInPandas" not in grouped._jdf.queryExecution().executedPlan().toString()  # it ran already, and its result is read twice
+
+
 def test_matcher_rules():
     g = Grouper(Matching())
     box = (100, 100, 300, 200)
@@ -116,8 +142,9 @@ def test_extractor_failures_stay_in_their_row(spark):
             raise OSError("down")
         return json.dumps({"donor": f"d{row['n']}", "amount": row["n"]})
 
-    got = {r["n"]: r for r in rows.parsed_rows(rows.extract(spark.range(1, 4).toDF("n"), ask, ["n"], retries=1)).collect()}
-    assert got[2]["request_error"] == "request_failed: down" and got[3]["donor"] == "d3" and got[1]["parsed_ok"]
+    got = {r["n"]: r for r in rows.parsed_rows(rows.extract(spark.range(1, 4).toDF("n"), ask, ["n"], retries=1, pause=0.2)).collect()}
+    assert got[2]["latency_sec"] >= 0.2 > got[1]["latency_sec"]  # one pause, between the two tries
+    assert got[2]["request_error"] == "request_failed: OSError: down" and got[3]["donor"] == "d3" and got[1]["parsed_ok"]
 
 
 def test_evaluation(spark):
@@ -142,11 +169,144 @@ def test_training_samples(spark):
 
 def test_config_is_checked():
     assert runs.RunConfig(strategies=("uncertain",)).detect_confidence == 0.25 and runs.RunConfig().detect_confidence == 0.5
-    for bad in ({"frame_step": 0}, {"strategies": ("x",)}, {"strategies": ("uncertain",), "uncertain_min": 0.7}, {"budget": 0}):
+    for bad in ({"frame_step": 0}, {"strategies": ("x",)}, {"strategies": ("uncertain",), "uncertain_min": 0.7}, {"budget": 0}, {"max_tokens": 0}, {"timeout": 0}, {"engine": "other"}, {"engine": "native", "strategies": ("best",)}):
         with pytest.raises(ValueError):
             runs.RunConfig(**bad)
 
 
+def test_empty_crops_are_passed_over(spark):
+    whole = (0, 0, 0, 0.0, 1920, 1080, 0, 0.9, 10, 10, 300, 90)
+    outside = (0, 10, 0, 1.0, 1920, 1080, 0, 0.9, 1990, 10, 2300, 90)
+    line = (0, 20, 0, 2.0, 1920, 1, 0, 0.9, 10, 0, 300, 1)
+    got = runs.detector_rows(spark.createDataFrame([whole, outside, line], S.DETECTIONS)).collect()
+    assert [(r["first_frame"], r["detections_count"]) for r in got] == [(0, 1)]
+
+
+def test_truth_lookup(spark):
+    said = spark.createDataFrame([("a", "bob", 5.0, "RUB", "hi\n there", True), ("b", None, None, None, None, None), ("c", "x", 1.0, "RUB", "m", False)], "file_name string, donor string, amount double, currency string, message string, fee_covered boolean")
+    truth = spark.createDataFrame([("a", "bob", 5.0, "RUB", "hi there", True), ("b", "eve", 2.0, "USD", None, False), ("z", "q", 1.0, "RUB", "m", False)], said.schema)
+    pairs, untold = rows.compared(said, truth)
+    got = {r["file_name"]: r for r in pairs.collect()}
+    assert [r["file_name"] for r in untold.collect()] == ["c"] and set(got) == {"a", "b"}
+    assert all(got["a"][f"sim_{c}"] == 1.0 for c in rows.COMPARED)
+    assert [got["b"][f"sim_{c}"] for c in rows.COMPARED] == [0.0, 0.0, 0.0, 1.0, 1.0]
+    r = rows.evaluation_summary(pairs.withColumn("sec", F.lit(2.0)), list(rows.COMPARED), "sec").first()
+    assert (r["n"], r["all_correct"], r["mean_latency"], r["exact_message"]) == (2, 0.5, 2.0, 1.0)
+
+
+def test_counters_of_a_run(spark):
+    marked = dedup.dedup_donations(donations(spark)).withColumn("model_error", F.when(~F.col("parsed_ok"), "x"))
+    det = spark.createDataFrame(video(2, 1), S.DETECTIONS)
+    r = rows.whole_run_counters(marked, det).first()
+    assert (r["events"], r["error_events"], r["duplicates"], r["skipped"]) == (13, 1, 3, 4)
+    assert (r["frames"], r["raw_detections"]) == (len({x[1] for x in video(2, 1)}), sum(x[7] >= 0.5 for x in video(2, 1)))
+    assert tuple(rows.whole_run_counters(marked.limit(0), det.limit(0)).first()) == (0,) * 6
+
+
+def test_speedups(spark):
+    r = spark.createDataFrame([("a", 4.0), ("a", 3.0), ("b", 6.0), ("c", 0.0)], "e string, s double")
+    assert {x["e"]: (x["best_sec"], x["speedup"]) for x in rows.speedups(r, "e", "s", "a").collect()} == {"a": (3.0, 1.0), "b": (6.0, 0.5), "c": (0.0, 0.0)}
+    assert {x["e"]: x["speedup"] for x in rows.speedups(r, "e", "s", "none").collect()} == {"a": 2.0, "b": 1.0, "c": 0.0}
+
+
+def test_detection_of_sampled_frames(spark):
+    """The table function makes its model once per task and sees sampled frames only."""
+
+    def model():
+        import pandas as pd
+
+        def run(pdf):
+            n = len(pdf)
+            return pd.DataFrame({"stream_id": pdf["stream_id"], "frame_idx": pdf["frame_idx"], "det_seq": [0] * n, "timestamp_sec": pdf["frame_idx"] / 30.0, "frame_w": [9] * n, "frame_h": [9] * n, "class_id": [0] * n, "confidence": [0.3 + f % 20 / 40 for f in pdf["frame_idx"]], **{c: [1] * n for c in ("x1", "y1", "x2", "y2")}})
+
+        return run
+
+    frames = spark.range(100).selectExpr("0L AS stream_id", "CAST(id AS INT) AS frame_idx").repartition(2)
+    got = runs.detected(frames, model, runs.RunConfig(max_frames=5)).collect()
+    assert sorted(r["frame_idx"] for r in got) == [10, 30]
+    got = runs.detected(frames, model, runs.RunConfig(max_frames=5, strategies=("uncertain",))).collect()
+    assert sorted(r["frame_idx"] for r in got) == [0, 10, 20, 30, 40]
+
+
+def png(path, width=3, height=2):
+    import struct
+    import zlib
+
+    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    body = b"".join(b"\0" + bytes([10, 20, 30]) * width for _ in range(height))
+    path.write_bytes(b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress(body)) + part(b"IEND", b""))
+
+
+def test_crops_are_read(spark, tmp_path):
+    png(tmp_path / "event_1.png")
+    (tmp_path / "event_2.png").write_bytes(b"no picture")
+    (tmp_path / "notes.txt").write_text("x")
+    got = {r["crop"]: r for r in readers.read_crops(spark, str(tmp_path)).collect()}
+    assert set(got) == {"event_1.png", "event_2.png"} and (got["event_1.png"]["width"], got["event_1.png"]["height"]) == (3, 2) and got["event_2.png"]["height"] == -1
+    assert bytes(got["event_1.png"]["data"])[:3] == bytes([30, 20, 10])
+    urls = {r["crop"]: r["url"] for r in readers.read_crop_bytes(spark, str(tmp_path)).collect()}
+    assert set(urls) == set(got) and urls["event_1.png"].startswith("data:image/png;base64,iVBOR")
+
+
+def test_http_extractor(spark):
+    """Against a server of this process: the payload, the answer, and an error status that is the row's."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen = []
+
+    class Answers(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            seen.append(body)
+            bad = body["messages"][0]["content"][1]["image_url"]["url"] == "data:bad"
+            self.send_response(500 if bad else 200)
+            self.end_headers()
+            self.wfile.write(json.dumps({"choices": [{"message": {"content": '{"donor": "d", "needs_review": false}'}}]}).encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Answers)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    ask = runs.RunConfig(max_tokens=77, timeout=20.0).extractor(f"http://127.0.0.1:{server.server_port}/v1", "m", "read it")
+    jobs = spark.createDataFrame([("data:ok",), ("data:bad",)], "url string").coalesce(1)
+    got = {r["url"]: r for r in rows.parsed_rows(rows.extract(jobs, ask, ["url"], retries=1, pause=0.0)).collect()}
+    server.shutdown()
+    assert got["data:ok"]["donor"] == "d" and got["data:ok"]["needs_review"] is False and got["data:ok"]["request_error"] is None
+    assert got["data:bad"]["request_error"].startswith("request_failed: HTTPError") and len(seen) == 3
+    assert (seen[0]["max_tokens"], seen[0]["model"], seen[0]["temperature"]) == (77, "m", 0.0) and seen[0]["response_format"]["json_schema"]["strict"] is True
+
+
+def mp4(path, frames=250, scale=12800, each=512, width=1280, height=720, wide=False):
+    import struct
+
+    box = lambda kind, *parts: struct.pack(">I4s", 8 + sum(map(len, parts)), kind) + b"".join(parts)
+    handler = lambda kind: box(b"hdlr", bytes(8), kind, bytes(12))
+    header = bytes([1, 0, 0, 0]) + bytes(16) + struct.pack(">IQ", scale, frames * each) if wide else bytes(12) + struct.pack(">II", scale, frames * each)
+    sound = box(b"trak", box(b"tkhd", bytes(76), bytes(8)), box(b"mdia", box(b"mdhd", bytes(12), struct.pack(">II", 48000, 9)), handler(b"soun")))
+    times = box(b"stts", bytes(4), struct.pack(">III", 1, frames, each))
+    video_ = box(b"trak", box(b"tkhd", bytes(76), struct.pack(">II", width << 16, height << 16)), box(b"mdia", box(b"mdhd", header), handler(b"vide"), box(b"minf", box(b"stbl", times))))
+    path.write_bytes(box(b"ftyp", b"isom", bytes(4)) + struct.pack(">I4sQ", 1, b"mdat", 116) + bytes(100) + box(b"moov", box(b"mvhd", bytes(100)), sound, video_))
+
+
+def test_videos_are_probed_and_scanned(spark, tmp_path):
+    import struct
+
+    mp4(tmp_path / "a.mp4")
+    mp4(tmp_path / "b c.mp4", 30, 30000, 1001, 640, 360, wide=True)
+    (tmp_path / "c.avi").write_bytes(b"RIFF" + bytes(4) + b"AVI LIST" + bytes(4) + b"hdrlavih" + struct.pack("<11I", 56, 40000, 0, 0, 0, 75, 0, 1, 0, 320, 240) + bytes(16))
+    (tmp_path / "d.mp4").write_bytes(b"not a video")
+    videos = readers.probe_videos(spark, str(tmp_path))
+    got = {r["video_name"]: (r["width"], r["height"], round(r["fps"], 3), r["total_frames"]) for r in videos.collect()}
+    assert got == {"a.mp4": (1280, 720, 25.0, 250), "b c.mp4": (640, 360, 29.97, 30), "c.avi": (320, 240, 25.0, 75), "d.mp4": (None, None, 30.0, 0)}
+    frames = readers.scan_videos(videos, 10, 4).collect()
+    assert sorted((r["video_name"], r["frame_idx"]) for r in frames) == sorted([("a.mp4", k) for k in (0, 10, 20, 30)] + [("b c.mp4", k) for k in (0, 10, 20)] + [("c.avi", k) for k in (0, 10, 20, 30)])
+    assert {r["timestamp_sec"] for r in frames if r["video_name"] == "a.mp4"} == {0.0, 0.4, 0.8, 1.2}
+    decoded = readers.scan_videos(videos, 10, 4, decode=lambda path, at: (f"{path[-5:]}:{k}".encode() for k in at), batch=3).collect()
+    assert sorted(bytes(r["data"]).decode() for r in decoded) == sorted(f"{r['path'][-5:]}:{r['frame_idx']}" for r in frames)
+
+
 def test_a_run_writes_its_reports(spark, tmp_path):
     det = spark.createDataFrame(video(1, 1), S.DETECTIONS)
     events = runs.detector_rows(det)
@@ -170,6 +330,8 @@ def test_extraction_stage(spark):
     crops = spark.createDataFrame([("event_1_x.png", "data:1"), ("event_5_x.png", None)], "crop string, url string")
     meta = spark.createDataFrame([(1, "event_1_x.png"), (2, "lost.png")], "id long, crop string")
     got = {r["event_id"]: r for r in runs.extraction_stage(crops, meta, lambda row: row["url"].upper(), concurrency=2).collect()}
+    with pytest.raises(FileNotFoundError, match="neither"):
+        runs.extraction_stage(crops.limit(0), meta.limit(0), str)
     assert got[1]["raw_model_response"] == "DATA:1" and got[2]["request_error"] == "crop_missing" and got[5]["request_error"] == "crop_load_failed"
 
 
@@ -197,6 +359,9 @@ def test_files(spark, tmp_path):
     lines = spark.createDataFrame([(json.dumps({"type": "event", **event}),), ("progress 5%",), (json.dumps({"type": "summary", "events_count": 1}),)], "value string")
     parts = readers.detector_stream(lines)
     assert [p.count() for p in parts] == [1, 1, 1] and parts[0].first()["event_id"] == 3
+    assert readers.the_summary(parts[1])["events_count"] == 1
+    with pytest.raises(RuntimeError, match="summary"):
+        readers.the_summary(parts[1].limit(0))
     (tmp_path / "v1.txt").write_text("read it\n")
     assert readers.load_prompt("v1", str(tmp_path)) == "read it"
     with pytest.raises(FileNotFoundError, match="v1"):
