@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -10,35 +9,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from lumenfold.operators.shared import checkpoint, folder  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def folder(spark: SparkSession) -> str:
-    """The folder that all executors share, from ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session (a test) gets one of its own and a cluster is an error."""
-    context = spark.sparkContext
-    known = context._jsc.sc().getCheckpointDir()
-    if known.isDefined():
-        return known.get()
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not context.master.startswith("local[") and context.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="lumenfold-")
-    context.setCheckpointDir(path)
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through :func:`folder`, so that the result survives lost executors."""
-    folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Removes a folder, on whatever file system it is."""
     jvm = spark.sparkContext._jvm
@@ -95,11 +74,14 @@ def parted(left: DataFrame, keys: list[str], right: DataFrame, slots: int = SLOT
     return told.join(F.broadcast(filled), "slot", "left_semi").drop("slot"), told.join(F.broadcast(filled), "slot", "left_anti").drop("slot")
 
 
-def attached(left: DataFrame, keys: list[str], right: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """Left join with ``right`` (distinct keys), in which rows without a match mostly stay where they are, see :func:`parted`."""
+def rewritten(left: DataFrame, keys: list[str], right: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType, new: dict[str, Column], slots: int = SLOTS) -> DataFrame:
+    """``fn`` over the Arrow batches of the left join with ``right`` (distinct keys), without the keys; ``schema`` is its result's.
+
+    Rows that surely have no match stay where they are and don't go through ``fn``: they
+    have ``new`` for the columns that it adds.  See :func:`parted`."""
     some, rest = parted(left, keys, right, slots)
-    joined = some.join(right, keys, "left").select(*left.columns, *[c for c in right.columns if c not in keys])
-    return joined.unionByName(rest.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in keys]))
+    joined = some.join(right, keys, "left").select(*[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys])
+    return joined.mapInArrow(batches(fn), schema).unionByName(rest.drop(*keys).withColumns(new) if new else rest.drop(*keys))
 
 
 def batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

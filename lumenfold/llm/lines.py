@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lumenfold.llm import words as W
-from lumenfold.llm.common import attached, batches, checkpoint, keyed, sized
+from lumenfold.llm.common import batches, checkpoint, keyed, rewritten, sized
 
 NEWLINE = np.zeros(256, dtype=bool)
 NEWLINE[10] = True
@@ -85,9 +85,8 @@ def _deduped(docs: DataFrame, window: int) -> tuple[DataFrame, str]:
     """:func:`common.positional` columns after the dedup and ``removed``, and the name of the text."""
     gone = checkpoint(repeated_lines(docs, window=window)).toDF("id", "tid", "lines")
     own, text = keyed(docs)
-    left = attached(own, ["id", "tid"], gone).drop("id", "tid")
     schema = StructType([*own.drop("id", "tid").schema.fields, StructField("removed", IntegerType())])
-    return left.mapInArrow(batches(_rewrite(text)), schema), text
+    return rewritten(own, ["id", "tid"], gone, _rewrite(text), schema, {"removed": F.lit(0)}), text
 
 
 def without_repeated_lines(docs: DataFrame, *, window: int = 3) -> DataFrame:

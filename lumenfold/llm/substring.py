@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenfold.llm import words as W
-from lumenfold.llm.common import attached, batches, checkpoint, keyed, parts, sized
+from lumenfold.llm.common import batches, checkpoint, keyed, parts, rewritten, sized
 
 SHINGLE = 16
 #: Bytes of a window's hash that travel, beside the 8 of its anchor.
@@ -257,5 +257,5 @@ def remove_substrings(docs: DataFrame, *, window: int = 50, hot: int = HOT) -> D
     :func:`repeated_substrings` for what is an occurrence."""
     gone = repeated_substrings(docs, window=window, hot=hot).where("removed").groupBy("doc_id", "tid").agg(F.collect_list(F.struct(F.col("start_word").alias("a"), F.col("end_word").alias("b"))).alias("spans"))
     own, text = keyed(docs)
-    left = attached(own, ["id", "tid"], checkpoint(gone).toDF("id", "tid", "spans")).drop("id", "tid")
-    return sized(left.mapInArrow(batches(_cut(text)), own.drop("id", "tid").schema), docs, text)
+    left = rewritten(own, ["id", "tid"], checkpoint(gone).toDF("id", "tid", "spans"), _cut(text), own.drop("id", "tid").schema, {})
+    return sized(left, docs, text)

@@ -204,7 +204,7 @@ def awkward_names(spark, rows):
 def test_columns_may_have_any_name(spark, tmp_path, monkeypatch, slots):
     """And the filter of slots decides nothing, whether it is full or not."""
     monkeypatch.setattr(common.parted, "__defaults__", (slots,))
-    monkeypatch.setattr(common.attached, "__defaults__", (slots,))
+    monkeypatch.setattr(common.rewritten, "__defaults__", (slots,))
     rows = corpus(8) + [(None, "no id"), (None, "no id"), (900, None), (901, "")]
     rows += rows[:5]
     docs, names = awkward_names(spark, rows)
