@@ -45,9 +45,12 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = own.select("*", F.col(id_).cast("long").alias("id"), F.when(value.isNotNull(), F.xxhash64(value)).alias("tid"))
     told = checkpoint(simhash.near_copies(docs)).toDF("id", "tid", "keep")
     some, rest = parted(own, ["id", "tid"], told)
-    some = some.join(told, ["id", "tid"], "left").select(*own.columns, "keep")
-    once = some.where("keep").dropDuplicates(["id", "tid"])  # combined before the shuffle
-    return some.where("keep IS NULL").union(once).drop("keep").union(rest).drop("id", "tid").toDF(*docs.columns)
+    left = some.join(told.where("NOT keep"), ["id", "tid"], "left_anti")
+    several = told.where("keep").select("id", "tid")
+    if not several.isEmpty():
+        again = left.join(several, ["id", "tid"], "left_semi").dropDuplicates(["id", "tid"])  # combined before the shuffle
+        left = left.join(several, ["id", "tid"], "left_anti").select(own.columns).union(again.select(own.columns))
+    return left.select(own.columns).union(rest.select(own.columns)).drop("id", "tid").toDF(*docs.columns)
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
