@@ -184,7 +184,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, *, pattern: str = PATTERN
 
     ``vocabulary`` is the path of a rank file; its bytes (under 1 MB, whatever the
     corpus) are broadcast.  ``round_trip`` tells whether the decoded ids are the text.
-    A NULL text has NULLs, an empty one no ids."""
+    A NULL text has NULLs, an empty one no ids.  Repeated rows and rows with a NULL ``doc_id``
+    are like any other; other columns are left out, whatever their names.  A text of any
+    length is encoded as a whole: its cost grows with its length, a single word of any
+    length too."""
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

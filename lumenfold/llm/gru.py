@@ -523,7 +523,8 @@ def score_documents(docs: DataFrame, model: tuple[Params, Vocabulary, DataFrame]
     Natural logarithms, each text as a whole.  A rare word has the probability of its id
     times ``n / (total + 1)``, its count and that of its id in the corpus; all unknown
     words of an id share the one that is left.  Rare words meet their counts in a shuffle
-    (12 bytes a word).  A text without tokens has log-likelihood 0 and a NULL ``per_token``; a NULL text has NULLs."""
+    (12 bytes a word).  A text without tokens has log-likelihood 0 and a NULL ``per_token``; a NULL text has NULLs.
+    Repeated rows and rows with a NULL ``doc_id`` are scored each."""
     p, v, counts = model
     sent = docs.sparkSession.sparkContext.broadcast((p, v))
     shards = parts(docs.sparkSession)
