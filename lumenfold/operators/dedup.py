@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.functions import text as T
+from lumenfold.operators.shared import checkpoint
 
 
 def mark_repeats(rows: DataFrame, keys: dict[str, Column], eligible: Column, order: str) -> DataFrame:
@@ -51,6 +52,9 @@ def totals_skipped(rows: DataFrame) -> DataFrame:
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, is_duplicate, duplicate_of`` by text in lower case with white space collapsed; NULL texts never repeat."""
-    key = F.sha2(F.lower(T.collapse(F.col("text"))), 256)
-    return mark_repeats(docs.select("doc_id", "text"), {"text": key}, F.col("text").isNotNull(), "doc_id").select("doc_id", "is_duplicate", "duplicate_of")
+    """``doc_id, is_duplicate, duplicate_of`` by text in lower case with white space collapsed; NULL texts never repeat.
+
+    Texts are read and hashed once; only ids and hashes are kept for the join."""
+    key = F.unhex(F.sha2(F.lower(T.collapse(F.col("text"))), 256))
+    own = checkpoint(docs.select("doc_id", key.alias("key")))
+    return mark_repeats(own, {"text": F.col("key")}, F.col("key").isNotNull(), "doc_id").select("doc_id", "is_duplicate", "duplicate_of")
