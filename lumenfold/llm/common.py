@@ -30,8 +30,23 @@ def parts(spark: SparkSession, times: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * times
 
 
+#: Bytes of the Arrow batches in which texts go to Python.
+BATCH = 8 << 20
+
+
+def lean(spark: SparkSession) -> None:
+    """Makes Arrow batches of at most :data:`BATCH` bytes the session's, where it has Spark's default of eight times as much.
+
+    Batches are held in several copies, by the JVM outside of its heap and by Python; no
+    result depends on their size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in (str(64 << 20), f"{64 << 20}b"):
+        spark.conf.set(key, str(BATCH))
+
+
 def documents(docs: DataFrame, *, fold: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` only, so that other columns neither travel nor clash."""
+    lean(docs.sparkSession)
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.lower(text) if fold else text).alias("text"))
 
@@ -44,6 +59,7 @@ def positional(docs: DataFrame) -> tuple[DataFrame, str, str]:
 
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """:func:`positional` with ``id``, and ``tid``, the ``hash`` of the text or NULL; and the name of ``text``."""
+    lean(docs.sparkSession)
     plain, id_, text = positional(docs)
     value = F.col(text).cast("string")
     return plain.select("*", F.col(id_).cast("long").alias("id"), F.when(value.isNotNull(), F.hash(value)).alias("tid")), text

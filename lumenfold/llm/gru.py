@@ -19,7 +19,8 @@ are averaged by tokens.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ WINDOW = 32
 LANES = 512
 #: Tokens of an Adam step, at least: windows in which few lanes are left add their gradients up.
 STEP = 2048
+#: Tokens that are trained on or scored together, at least: Arrow batches are gathered up to here, so that their size doesn't matter much.
+GATHER = 1 << 22
 #: Floats of a parameter block, and partial averages that are averaged at a time.
 BLOCK, FAN = 4096, 256
 #: Largest output weight; a sum of ``hidden`` + 1 of them stays under 80.
@@ -377,6 +380,19 @@ def _coded(texts: pa.Array, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ids), sizes
 
 
+def _gathered(items: Iterable, size: Callable[[Any], int]) -> Iterator[list]:
+    """Items in lists of at least ``GATHER`` tokens."""
+    held, n = [], 0
+    for x in items:
+        held.append(x)
+        n += size(x)
+        if n >= GATHER:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def _word_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         h, n = np.unique(_hashed(batch.column("text"))[0], return_counts=True)
@@ -445,8 +461,8 @@ def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int =
 
             own, v = {k: a.copy() for k, a in sent.value[0].items()}, sent.value[1]
             trainer = Trainer(own, v, lanes=lanes, step=step)
-            for batch in it:
-                trainer.feed(*_coded(batch.column("text"), v))
+            for held in _gathered((_coded(batch.column("text"), v) for batch in it), lambda x: len(x[0])):
+                trainer.feed(*map(np.concatenate, zip(*held)))
             own, n = trainer.finish(), trainer.tokens
             if n:
                 flat = np.concatenate([a.reshape(-1) for a in own.values()])
@@ -533,13 +549,12 @@ def score_documents(docs: DataFrame, model: tuple[Params, Vocabulary, DataFrame]
         from pyspark import TaskContext
 
         source = TaskContext.get().partitionId() << 32
-        for batch in it:
+        for held in _gathered(((*_hashed(b.column("text")), b.column("text").is_null().to_numpy(zero_copy_only=False), b.column("doc_id")) for b in it), lambda x: len(x[0])):
             p, v = sent.value
-            hashes, sizes = _hashed(batch.column("text"))
+            hashes, sizes, null = (np.concatenate(x) for x in list(zip(*held))[:3])
             tokens = v.ids(hashes).astype(v.dtype)
             log = score(p, v, tokens, sizes)
-            null = batch.column("text").is_null().to_numpy(zero_copy_only=False)
-            base = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes.astype(np.int32), mask=null), pa.array(log)], ["doc_id", "n_tokens", "log_likelihood"])
+            base = pa.RecordBatch.from_arrays([pa.concat_arrays([x[3] for x in held]), pa.array(sizes.astype(np.int32), mask=null), pa.array(log)], ["doc_id", "n_tokens", "log_likelihood"])
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, base.schema) as writer:
                 writer.write_batch(base)

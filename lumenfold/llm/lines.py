@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lumenfold.llm import words as W
-from lumenfold.llm.common import batches, checkpoint, keyed, rewritten, sized
+from lumenfold.llm.common import batches, checkpoint, keyed, lean, rewritten, sized
 
 NEWLINE = np.zeros(256, dtype=bool)
 NEWLINE[10] = True
@@ -35,6 +35,7 @@ def _windows(size: int):
 
 def repeated_lines(docs: DataFrame, *, window: int = 3) -> DataFrame:
     """``doc_id, tid, lines``: for each document with later occurrences, its non-empty lines (from 0) that they cover."""
+    lean(docs.sparkSession)
     text = F.col("text").cast("string")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("tid"), text.alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     found = checkpoint(own.mapInArrow(batches(_windows(window)), "h long, doc_id long, tid int, pos int"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenfold.llm import words as W
-from lumenfold.llm.common import batches, documents
+from lumenfold.llm.common import batches, documents, lean
 
 #: Buckets of the two filters.
 RATIO_BUCKETS, CLASSIFIER_BUCKETS = 1 << 20, 1 << 18
@@ -218,6 +218,7 @@ def classify(docs: DataFrame, model: dict, *, threshold: float = 0.1) -> DataFra
 
 def keep_good(docs: DataFrame, model: dict, *, threshold: float = 0.1) -> DataFrame:
     """The rows of ``docs`` that :func:`classify` keeps, with all their columns."""
+    lean(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

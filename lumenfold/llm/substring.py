@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenfold.llm import words as W
-from lumenfold.llm.common import batches, checkpoint, keyed, parts, rewritten, sized
+from lumenfold.llm.common import batches, checkpoint, keyed, lean, parts, rewritten, sized
 
 SHINGLE = 16
 #: Bytes of a window's hash that travel, beside the 8 of its anchor.
@@ -210,6 +210,7 @@ def repeated_substrings(docs: DataFrame, *, window: int = 50, hot: int = HOT, br
     ``doc_id`` or text, and texts of fewer than ``window`` tokens, have no interval.  Very
     long texts are read as a whole.  Anchors with more than ``hot`` runs (and more than one
     run of ``SHARE``) go the other way, see above; the result is the same."""
+    lean(docs.sparkSession)
     text = F.col(text_col).cast("string")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).alias("tid"), text.alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     buckets = parts(docs.sparkSession, 4)

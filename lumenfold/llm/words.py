@@ -41,7 +41,7 @@ _inverse = np.ones(1, dtype=np.uint64)
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverse
     if len(_powers) < n:
-        size = max(n, GROUP_BYTES * 2)
+        size = max(n, GROUP_BYTES + (1 << 16))
         base = np.full(size, BASE, dtype=np.uint64)
         inverse = np.full(size, _INV, dtype=np.uint64)
         base[0] = inverse[0] = 1
