@@ -30,18 +30,19 @@ def parts(spark: SparkSession, times: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * times
 
 
-#: Bytes of the Arrow batches in which texts go to Python.
-BATCH = 8 << 20
+#: Bytes of the Arrow batches in which texts go to Python, and rows that a Parquet scan decodes at a time.
+BATCH, DECODED = 8 << 20, 512
 
 
 def lean(spark: SparkSession) -> None:
-    """Makes Arrow batches of at most :data:`BATCH` bytes the session's, where it has Spark's default of eight times as much.
-
-    Batches are held in several copies, by the JVM outside of its heap and by Python; no
-    result depends on their size."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) in (str(64 << 20), f"{64 << 20}b"):
-        spark.conf.set(key, str(BATCH))
+    """Makes batches of :data:`BATCH` bytes and :data:`DECODED` rows the session's, where it has Spark's defaults of eight times as much.
+
+    Arrow batches are held in several copies, by the JVM outside of its heap and by Python,
+    and a scan holds all texts of the rows it decodes in one array, which doubles as it
+    grows.  No result depends on these sizes."""
+    for key, usual, own in (("spark.sql.execution.arrow.maxBytesPerBatch", (str(64 << 20), f"{64 << 20}b"), BATCH), ("spark.sql.parquet.columnarReaderBatchSize", ("4096",), DECODED)):
+        if spark.conf.get(key, None) in usual:
+            spark.conf.set(key, str(own))
 
 
 def documents(docs: DataFrame, *, fold: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
