@@ -56,6 +56,9 @@ class Vocabulary:
         self.begin = self.size
         order = np.argsort(hashes)
         self.sorted, self.order = hashes[order], order.astype(np.int32)
+        # most words are told by one look into a table: by the low bits, the last word that has them or -1
+        self.slots = np.full(max(1 << 16, 1 << (16 * len(hashes)).bit_length()), -1, np.int32)
+        self.slots[self._slot(self.sorted)] = np.arange(len(hashes), dtype=np.int32)
         weight = np.sqrt(np.concatenate([counts, rare]) + 1.0)
         # frequent first, classes of about equal weight; a class is a range of places
         self.place_of = np.empty(self.size, np.int32)
@@ -72,13 +75,18 @@ class Vocabulary:
         self.dtype = np.int16 if self.size < 1 << 15 else np.int32
         self.classes = int(in_class[-1]) + 1
 
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.slots) - 1)).astype(np.intp)
+
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Places (ids in order of frequency) of words."""
         rare = len(self.sorted) + (hashes % np.uint64(RARE)).astype(np.int32)
         if not len(self.sorted):
             return self.place_of[rare]
-        at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-        return self.place_of[np.where(self.sorted[at] == hashes, self.order[at], rare)]
+        at = self.slots[self._slot(hashes)]
+        other = np.flatnonzero((self.sorted[at] != hashes) & (at >= 0))  # another word's slot
+        at[other] = np.minimum(np.searchsorted(self.sorted, hashes[other]), len(self.sorted) - 1)
+        return self.place_of[np.where((at >= 0) & (self.sorted[at] == hashes), self.order[at], rare)]
 
 
 def initial(size: int, classes: int, hidden: int, seed: int = 5) -> Params:
@@ -151,10 +159,20 @@ def forward(p: Params, table: np.ndarray, x: np.ndarray, first: np.ndarray, h: n
     return out, gates, begin
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    """In place, without a shift: states are within 1 and weights within ``BOUND``, so that float32 holds the exponentials."""
-    x -= np.log(np.exp(x) @ np.ones(x.shape[1], np.float32))[:, None]
-    return x
+def _states(out: np.ndarray, real: np.ndarray) -> np.ndarray:
+    """States of the real steps of a window, a row each."""
+    by_step = out.transpose(0, 2, 1)
+    return by_step.reshape(-1, out.shape[1]) if real.all() else by_step[real]
+
+
+def _picked(x: np.ndarray, pick: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-softmax of ``x`` at ``pick``, and the exponentials (in place of ``x``) with their sums.
+
+    Without a shift: states are within 1 and weights within ``BOUND``, so that float32 holds the exponentials."""
+    at = x[pick]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    return at - np.log(total), x, total
 
 
 def output(p: Params, v: Vocabulary, h: np.ndarray, target: np.ndarray, grad: Params | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -163,12 +181,14 @@ def output(p: Params, v: Vocabulary, h: np.ndarray, target: np.ndarray, grad: Pa
     cls = v.class_of[target]
     order = np.argsort(cls, kind="stable")
     h, target, cls = h[order], target[order], cls[order]
-    logc = _log_softmax(h @ p["wc"] + p["bc"])
-    score = logc[np.arange(n), cls]
+    x = h @ p["wc"]
+    x += p["bc"]
+    pick = (np.arange(n), cls)
+    score, d, total = _picked(x, pick)
     dh = None
     if grad is not None:
-        d = np.exp(logc)
-        d[np.arange(n), cls] -= 1
+        d /= total[:, None]
+        d[pick] -= 1
         dh = d @ p["wc"].T
         grad["wc"] += h.T @ d
         grad["bc"] += d.sum(axis=0)
@@ -177,11 +197,13 @@ def output(p: Params, v: Vocabulary, h: np.ndarray, target: np.ndarray, grad: Pa
         a, b, lo, hi = cut[c], cut[c + 1], v.cut[c], v.cut[c + 1]
         if hi - lo == 1:
             continue
-        log = _log_softmax(h[a:b] @ p["wo"][lo:hi].T + p["bo"][lo:hi])
+        x = h[a:b] @ p["wo"][lo:hi].T
+        x += p["bo"][lo:hi]
         pick = (np.arange(b - a), target[a:b] - lo)
-        score[a:b] += log[pick]
+        log, d, total = _picked(x, pick)
+        score[a:b] += log
         if grad is not None:
-            d = np.exp(log, out=log)
+            d /= total[:, None]
             d[pick] -= 1
             dh[a:b] += d @ p["wo"][lo:hi]
             grad["wo"][lo:hi] += d.T @ h[a:b]
@@ -313,12 +335,15 @@ class Trainer:
     def _step(self) -> None:
         if not self.seen:
             return
-        log, d = output(self.p, self.v, np.concatenate([run[0].transpose(0, 2, 1)[real] for _, _, real, _, run in self.waiting]), np.concatenate([w[3] for w in self.waiting]), self.grad)
+        log, d = output(self.p, self.v, np.concatenate([_states(run[0], real) for _, _, real, _, run in self.waiting]), np.concatenate([w[3] for w in self.waiting]), self.grad)
         self.loss -= float(log.sum(dtype=np.float64))
         at = 0
         for x, first, real, target, run in self.waiting:
-            dh = np.zeros((*x.shape, self.hidden), d.dtype)
-            dh[real] = d[at : at + len(target)]
+            if len(target) == x.size:
+                dh = d[at : at + len(target)].reshape(*x.shape, self.hidden)
+            else:
+                dh = np.zeros((*x.shape, self.hidden), d.dtype)
+                dh[real] = d[at : at + len(target)]
             backward(self.p, x, first, run, np.ascontiguousarray(dh.transpose(0, 2, 1)), self.grad)
             at += len(target)
         limit, scale = BOUND / (self.hidden + 1), 1.0 / self.seen
@@ -351,7 +376,7 @@ def score(p: Params, v: Vocabulary, tokens: np.ndarray, sizes: np.ndarray) -> np
     for x, target, first, doc, real in windows(tokens, sizes, v.begin):
         out, _, _ = forward(p, table, x, first, state[:, : x.shape[1]])
         state = out[-1]
-        waiting.append((out.transpose(0, 2, 1)[real], target[real], doc[real]))
+        waiting.append((_states(out, real), target[real], doc[real]))
         if sum(len(w[1]) for w in waiting) >= STEP:
             add()
     if waiting:
@@ -447,7 +472,10 @@ def _average(rows: DataFrame, partitions: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int = 16, rounds: int = 3, lanes: int = LANES, step: int = STEP) -> tuple[Params, Vocabulary, DataFrame]:
-    """Parameters, vocabulary and counts of all words from all of ``docs`` (``doc_id, text``); round r trains on the documents whose hash is r."""
+    """Parameters, vocabulary and counts of all words from all of ``docs`` (``doc_id, text``); round r trains on the documents whose hash is r.
+
+    The hash is of ``doc_id`` and ``size``, or the length of ``text`` where there is no such column."""
+    size = F.col("size") if "size" in docs.columns else F.length("text")
     spark = docs.sparkSession
     v, counts = vocabulary(docs, words=words, classes=classes)
     p = initial(v.size, v.classes, hidden)
@@ -470,7 +498,7 @@ def fit(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int =
                 part = TaskContext.get().partitionId()
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array([float(n)] * len(blocks)), pa.array(blocks, pa.binary())], ["block", "part", "w", "x"])
 
-        share = docs.where(F.pmod(F.hash("doc_id", F.length("text")), F.lit(rounds)) == r).select("text")
+        share = docs.where(F.pmod(F.hash("doc_id", size), F.lit(rounds)) == r).select("text")
         rows = _average(share.mapInArrow(run, "block int, part int, w double, x binary"), docs.rdd.getNumPartitions()).collect()
         if rows:
             flat = np.concatenate([np.frombuffer(x["x"], np.float32) for x in sorted(rows, key=lambda x: x["block"])])
@@ -569,11 +597,12 @@ def score_documents(docs: DataFrame, model: tuple[Params, Vocabulary, DataFrame]
             if batch.num_rows:
                 yield _sharded(_COUNTS, -1, shards, batch.column("h").to_numpy().view(np.uint64), batch.column("n").to_numpy())
 
-    met = docs.mapInArrow(run, _PARTS).union(counts.mapInArrow(counted, _PARTS)).groupBy("shard").applyInArrow(_shares(v.rare), _PARTS)
+    met = docs.select("doc_id", "text").mapInArrow(run, _PARTS).union(counts.mapInArrow(counted, _PARTS)).groupBy("shard").applyInArrow(_shares(v.rare), _PARTS)
     return met.groupBy("source").applyInArrow(_finished, "doc_id long, n_tokens int, log_likelihood double, per_token double")
 
 
 def language_model_scores(docs: DataFrame, *, words: int = 1024, classes: int = 32, hidden: int = 16, rounds: int = 3) -> DataFrame:
     """Fits the model to all of ``docs`` and scores all of them, see :func:`score_documents`."""
-    own = documents(docs, fold=True)
+    own = documents(docs)
+    own = own.select("doc_id", F.lower("text").alias("text"), F.length("text").alias("size"))  # a round's filter needs no folded text
     return score_documents(own, fit(own, words=words, classes=classes, hidden=hidden, rounds=rounds))

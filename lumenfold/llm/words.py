@@ -82,6 +82,11 @@ def groups(offsets: np.ndarray, size: int = GROUP_BYTES, rows: int = 1 << 15) ->
         a = b
 
 
+def _rows(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Row of each start; both are in order."""
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends (positions in ``data``) and row of all words of some rows."""
     lo, hi = int(offsets[0]), int(offsets[-1])
@@ -96,8 +101,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tupl
         both = np.unique(both)
         at = np.sort(np.concatenate([at, both, both]), kind="stable")
     starts, ends = at[0::2] + lo, at[1::2] + lo
-    rows = np.searchsorted(offsets, starts, side="right") - 1
-    return starts, ends, rows
+    return starts, ends, _rows(starts, offsets)
 
 
 #: Byte classes for :func:`tokens`: 0 white space, 1 letters, digits and non-ASCII, 2 other.
@@ -114,7 +118,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     at = np.flatnonzero(new)
     real = kind[at[:-1]] > 0
     starts, ends = at[:-1][real] + lo, at[1:][real] + lo
-    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
+    return starts, ends, _rows(starts, offsets)
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
