@@ -145,7 +145,7 @@ _M = lambda i: f"(CASE WHEN {i} < 0 THEN 1 WHEN {i} > 7 THEN 6 ELSE {i} END)"  #
 v AS (SELECT vec_id, list_transform(range(64), lambda k: {_AT.format(_M('(k // 8 - 1)'), 'k % 8')} + {_AT.format(_M('(k // 8 + 1)'), 'k % 8')} + {_AT.format('k // 8', _M('(k % 8 - 1)'))} + {_AT.format('k // 8', _M('(k % 8 + 1)'))} - 4 * {_AT.format('k // 8', 'k % 8')}) AS l FROM px)
 SELECT vec_id, (64 * list_sum(list_transform(l, lambda x: x * x)) - list_sum(l) ** 2) / 4096.0::DOUBLE AS variance FROM v""")
 def laplacian_variance(spark: SparkSession, d: str) -> DataFrame:
-    tile = F.transform("embedding", lambda v: F.floor(F.abs(v) * 1000).cast("int") % 256)
+    tile = F.transform("embedding", lambda v: F.floor(F.abs(v) * F.lit(1000).cast("float")).cast("int") % 256)  # floats, as in SQL; an integer would make doubles of them
     return X.table(spark, d, "embeddings").select("vec_id", P.tile_sharpness(tile).alias("variance"))
 
 

@@ -58,3 +58,13 @@ def test_other_import_failures_are_told(tmp_path):
     with pytest.raises(ModuleNotFoundError, match="absent_thing"):
         e._optional("needs_absent_thing")
     sys.path.remove(str(tmp_path))
+
+
+def test_tiles_are_floats_as_in_sql(spark, tmp_path):
+    """Thousandths: many are whole numbers when multiplied as floats, and lie below them as doubles."""
+    tiles = [(i, [s * (64 * i + k) / 1000 for k in range(64)]) for i, s in enumerate((1, -1, 1, -1))]
+    spark.createDataFrame(tiles, "vec_id long, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = c.sql(Q.SQL["laplacian_variance"]).fetchall()
+    assert sorted(map(tuple, Q.laplacian_variance(spark, str(tmp_path)).collect())) == sorted(want)
