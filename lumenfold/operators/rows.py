@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenfold.functions import python as P
@@ -16,6 +16,14 @@ from lumenfold.operators.dedup import counted
 
 FALLBACK_ID = 10**9
 
+#: Rows that a task of a join or a sort over names is to hold, some 100 bytes each.
+ROWS = 1 << 19
+
+
+def parts_of(spark: SparkSession, count: int) -> int:
+    """Partitions for ``count`` rows, :data:`ROWS` in each; the shuffle partitions of the session at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // ROWS))
+
 
 def global_rank(rows: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
     """``rows`` with their place, from 1, in the order of all of them; no task sees more than its range.
@@ -98,14 +106,18 @@ def field_match(kind: str, a: Column, b: Column) -> Column:
 COMPARED = {"donor": "string", "amount": "number", "currency": "string", "message": "text", "fee_covered": "flag"}
 
 
-def compared(predictions: DataFrame, truth: DataFrame, fields: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def compared(predictions: DataFrame, truth: DataFrame, fields: list[str] | None = None, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Predictions with ``sim_<field>`` against the truth of their ``file_name``, and the names without a truth.
 
     Of several truths of a name one counts, the greatest by its fields.  ``fields`` are all
-    of :data:`COMPARED` by default; a prediction that failed has NULLs and stays in."""
-    fields = fields or list(COMPARED)
-    known = truth.groupBy("file_name").agg(F.max(F.struct(*fields)).alias("_t"))
-    told = predictions.join(known, "file_name", "left")
+    of :data:`COMPARED` by default; a prediction that failed has NULLs and stays in.
+
+    A structure is sorted to find its greatest, so truths are spread over the ``parts`` (see
+    :func:`parts_of`; the shuffle partitions by default) first, and no task sorts what it scans.
+    The join merges: sizes that Spark guesses from compressed files would broadcast large sides."""
+    fields, parts = fields or list(COMPARED), parts or parts_of(truth.sparkSession, 0)
+    known = truth.select("file_name", *fields).repartition(parts, "file_name").groupBy("file_name").agg(F.max(F.struct(*fields)).alias("_t"))
+    told = predictions.repartition(parts, "file_name").join(known.hint("merge"), "file_name", "left")
     pairs = told.where("_t IS NOT NULL").withColumns({f"sim_{c}": field_match(COMPARED[c], F.col(c), F.col(f"_t.{c}")) for c in fields})
     return pairs.drop("_t"), told.where("_t IS NULL").select("file_name")
 

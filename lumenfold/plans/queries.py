@@ -321,11 +321,16 @@ _LOOKUP = f"""{_PARSED}, k AS (SELECT file_name, max(struct_pack(donor := donor,
 m AS (SELECT regexp_extract(crop_path, '[^/]*$', 0) AS file_name, p.*, t FROM p LEFT JOIN k ON k.file_name = regexp_extract(crop_path, '[^/]*$', 0))"""
 
 
+def _parts(spark: SparkSession, d: str) -> int:
+    """For the answers and the truths, one of each an event at most; the number of events is in the footers of their files."""
+    return rows.parts_of(spark, 2 * X.table(spark, d, "events").count())
+
+
 def _compared(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     said = rows.parsed_rows(X.build(spark, d, "responses")).withColumn("file_name", F.element_at(F.split("crop_path", "/"), -1))
     e, user = X.table(spark, d, "events").where("event_type <> 'view'"), F.col("user_id")
     truth = e.select(F.concat(F.lit("event_"), F.col("event_id").cast("string"), F.lit("_x.png")).alias("file_name"), F.concat(F.lit("user_"), (user % 40).cast("string")).alias("donor"), ((user % 5 + 1) * 100).cast("double").alias("amount"), (user % 3 == 0).alias("fee_covered"))
-    return rows.compared(said, truth, ["amount", "fee_covered"])
+    return rows.compared(said, truth, ["amount", "fee_covered"], _parts(spark, d))
 
 
 @query(f"WITH {_LOOKUP} SELECT file_name, CASE WHEN amount IS NULL THEN 0.0::DOUBLE WHEN amount = t.amount THEN 1 ELSE 0 END AS sim_amount, CASE WHEN fee_covered = t.fee_covered THEN 1.0::DOUBLE ELSE 0 END AS sim_fee_covered FROM m WHERE t IS NOT NULL")

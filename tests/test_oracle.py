@@ -7,6 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from lumenfold.operators import rows
 from lumenfold.plans import queries as Q
 
 TABLES = Path("/root/testdata/sf0.001")
@@ -68,3 +69,16 @@ def test_tiles_are_floats_as_in_sql(spark, tmp_path):
     c.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
     want = c.sql(Q.SQL["laplacian_variance"]).fetchall()
     assert sorted(map(tuple, Q.laplacian_variance(spark, str(tmp_path)).collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("name", ["truth_lookup", "truth_missing"])
+def test_names_are_joined_in_partitions_that_follow_the_input(spark, duck, monkeypatch, name):
+    """No side is broadcast by a guess of its size, and nothing is sorted before it is spread."""
+    monkeypatch.setattr(rows, "ROWS", 100, raising=False)
+    df = Q.QUERIES[name](spark, str(TABLES))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    n = 2 * duck.sql("SELECT count(*) FROM events").fetchall()[0][0] // 100
+    assert n > 4 and plan.count(f", {n}), REPARTITION_BY_NUM") == plan.count("Exchange ") == 2 and "Broadcast" not in plan
+    assert "Sort" not in plan.rpartition("REPARTITION_BY_NUM")[2]
+    names = sorted(df.columns)
+    assert sorted(tuple(r[c] for c in names) for r in df.collect()) == sorted(duck.sql(f"SELECT {', '.join(names)} FROM ({Q.SQL[name]})").fetchall())
