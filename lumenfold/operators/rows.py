@@ -167,10 +167,13 @@ def best_setting(runs: DataFrame, setting: str, rate: str, need: float) -> DataF
     return best.withColumn("verdict", F.when(F.col(rate) >= 2 * need, "headroom").when(F.col(rate) >= need, "enough").otherwise("too slow"))
 
 
-def residual_errors(pairs: DataFrame, fields: list[str], limit: float = 0.97) -> DataFrame:
-    """A row per field that is less similar than ``limit``, the worst first; ``pairs`` has ``file_name`` and ``sim_<field>``."""
+def residual_errors(pairs: DataFrame, fields: list[str], limit: float = 0.97, parts: int | None = None) -> DataFrame:
+    """A row per field that is less similar than ``limit``, the worst first; ``pairs`` has ``file_name`` and ``sim_<field>``.
+
+    They are sorted in ``parts`` ranges (see :func:`parts_of`; the shuffle partitions by default)."""
+    order = ["similarity", "file_name", "field"]
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"sim_{f}").alias("similarity")) for f in fields])).alias("e")
-    return pairs.select("file_name", each).select("file_name", "e.*").where(F.col("similarity") < limit).orderBy("similarity", "file_name", "field")
+    return pairs.select("file_name", each).select("file_name", "e.*").where(F.col("similarity") < limit).repartitionByRange(parts or parts_of(pairs.sparkSession, 0), *order).sortWithinPartitions(*order)
 
 
 def run_counters(events: DataFrame) -> DataFrame:

@@ -345,7 +345,7 @@ def truth_missing(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_LOOKUP}, s AS (SELECT file_name, unnest([struct_pack(f := 'amount', v := CASE WHEN amount IS NULL THEN 0.0::DOUBLE WHEN amount = t.amount THEN 1 ELSE 0 END), struct_pack(f := 'fee_covered', v := CASE WHEN fee_covered = t.fee_covered THEN 1.0::DOUBLE ELSE 0 END)]) AS e FROM m WHERE t IS NOT NULL) SELECT file_name, e.f AS field, e.v AS similarity FROM s WHERE e.v < 0.97")
 def residual_errors(spark: SparkSession, d: str) -> DataFrame:
-    return rows.residual_errors(_compared(spark, d)[0], ["amount", "fee_covered"])
+    return rows.residual_errors(_compared(spark, d)[0], ["amount", "fee_covered"], parts=_parts(spark, d))
 
 
 @query(f"""WITH {_DEDUP}, c AS (SELECT count(*) AS events, count(*) FILTER (NOT parsed_ok) AS error_events, count(*) FILTER (is_duplicate) AS duplicates, count(*) FILTER (NOT is_duplicate AND NOT {_COUNTED}) AS skipped FROM fin)

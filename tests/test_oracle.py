@@ -82,3 +82,12 @@ def test_names_are_joined_in_partitions_that_follow_the_input(spark, duck, monke
     assert "Sort" not in plan.rpartition("REPARTITION_BY_NUM")[2]
     names = sorted(df.columns)
     assert sorted(tuple(r[c] for c in names) for r in df.collect()) == sorted(duck.sql(f"SELECT {', '.join(names)} FROM ({Q.SQL[name]})").fetchall())
+
+
+def test_residuals_are_sorted_in_ranges_that_follow_the_input(spark, duck, monkeypatch):
+    monkeypatch.setattr(rows, "ROWS", 100, raising=False)
+    df = Q.residual_errors(spark, str(TABLES))
+    n = 2 * duck.sql("SELECT count(*) FROM events").fetchall()[0][0] // 100
+    assert n > 4 and f", {n}), REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString().partition("rangepartitioning")[2].split("\n")[0]
+    got = [(r["similarity"], r["file_name"], r["field"]) for r in df.collect()]
+    assert got == sorted(duck.sql(f"SELECT similarity, file_name, field FROM ({Q.SQL['residual_errors']})").fetchall())
